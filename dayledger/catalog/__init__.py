@@ -1,6 +1,6 @@
 """Queries over the given tables, one group per module."""
 
-from dayledger.catalog import marts  # noqa: F401
+from dayledger.catalog import invariants, marts, metrics, quality  # noqa: F401
 from dayledger.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

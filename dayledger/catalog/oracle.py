@@ -188,7 +188,17 @@ def _code(condition: str, code: str) -> str:
     return f"CASE WHEN {condition} THEN '{code}' END"
 
 
-RAW_CUSTOMERS = f"""
+HISTORY = f"""SELECT DISTINCT CAST(customer_id AS VARCHAR) AS hid FROM c
+           WHERE load_date >= DATE '{LOAD_DATE}' - 365 AND load_date < DATE '{LOAD_DATE}'"""
+NO_HISTORY = "SELECT CAST(NULL AS VARCHAR) AS hid WHERE false"
+SOLVENT = "SELECT CAST(c_custkey AS VARCHAR) AS cid FROM customer WHERE c_acctbal > 0"
+ACCEPTED_CUSTOMERS = "SELECT DISTINCT customer_id AS cid FROM tc WHERE dq_reason = ''"
+SETTLED = "SELECT CAST(o_orderkey AS VARCHAR) AS oid, o_orderdate AS oat FROM orders WHERE o_orderstatus <> 'P'"
+ACCEPTED_ORDERS = "SELECT order_id AS oid, min(created_at) AS oat FROM tor WHERE dq_reason = '' GROUP BY order_id"
+
+
+def customers_part(history: str = HISTORY) -> str:
+    return f"""
 rc AS (
   SELECT CASE WHEN c_acctbal < -900 THEN '  ' WHEN c_acctbal < -800 THEN NULL
               ELSE CAST(c_custkey AS VARCHAR) END AS customer_id,
@@ -200,11 +210,10 @@ rc AS (
   SELECT CAST(s_suppkey AS VARCHAR), {registered("s_suppkey")}, n_name, 'referral', s_name,
          CAST({registered("s_suppkey")} AS DATE)
   FROM supplier JOIN nation ON s_nationkey = n_nationkey),
-rc_ids AS (SELECT DISTINCT CAST(customer_id AS VARCHAR) AS hid FROM c
-           WHERE load_date >= DATE '{LOAD_DATE}' - 365 AND load_date < DATE '{LOAD_DATE}'),
+rc_ids AS ({history}),
 ec AS (SELECT rc.*, count(*) OVER (PARTITION BY customer_id) AS copies, hid
        FROM rc LEFT JOIN rc_ids ON hid = customer_id),
-CODES_C AS (SELECT *,
+codes_c AS (SELECT *,
   {_code("customer_id IS NULL OR trim(customer_id) = ''", "CUSTOMER_ID_EMPTY")} AS d01,
   {_code("copies > 1", "CUSTOMER_ID_DUPLICATE_IN_LOAD")} AS d02,
   {_code("hid IS NOT NULL", "CUSTOMER_ID_DUPLICATE_IN_HISTORY")} AS d03,
@@ -212,7 +221,9 @@ CODES_C AS (SELECT *,
 tc AS (SELECT *, concat_ws(' | ', d01, d02, d03, d04) AS dq_reason FROM codes_c)
 """
 
-RAW_ORDERS = f"""
+
+def orders_part(parents: str = SOLVENT) -> str:
+    return f"""
 ro AS (
   SELECT CASE WHEN o_totalprice < 2000 THEN '' ELSE CAST(order_id AS VARCHAR) END AS order_id,
          CASE WHEN o_totalprice < 499000 THEN CAST(customer_id AS VARCHAR) END AS customer_id,
@@ -228,7 +239,7 @@ ro AS (
          CASE WHEN o_orderpriority = '5-LOW' THEN cancelled_at - INTERVAL 1 HOUR ELSE refunded_at END AS refunded_at,
          load_date
   FROM o_wide, range(CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN 2 ELSE 1 END) AS copy(n)),
-ro_parents AS (SELECT CAST(c_custkey AS VARCHAR) AS cid FROM customer WHERE c_acctbal > 0),
+ro_parents AS ({parents}),
 eo AS (SELECT ro.*, count(*) OVER (PARTITION BY order_id) AS copies, cid
        FROM ro LEFT JOIN ro_parents ON cid = customer_id),
 codes_o AS (SELECT *,
@@ -248,7 +259,9 @@ codes_o AS (SELECT *,
 tor AS (SELECT *, concat_ws(' | ', d05, d06, d07, d08, d09, d10, d11, d12, d13) AS dq_reason FROM codes_o)
 """
 
-RAW_PAYMENTS = f"""
+
+def payments_part(parents: str = SETTLED) -> str:
+    return f"""
 rp AS (
   SELECT CASE WHEN l_quantity = 2 AND l_discount = 0 THEN ' '
               ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS payment_id,
@@ -259,7 +272,7 @@ rp AS (
               WHEN l_quantity > 45 THEN 'chargeback' ELSE 'refunded' END AS status,
          CAST(l_shipdate AS DATE) AS load_date
   FROM lineitem),
-rp_parents AS (SELECT CAST(o_orderkey AS VARCHAR) AS oid, o_orderdate AS oat FROM orders WHERE o_orderstatus <> 'P'),
+rp_parents AS ({parents}),
 ep AS (SELECT rp.*, count(*) OVER (PARTITION BY payment_id) AS copies, oid, oat
        FROM rp LEFT JOIN rp_parents ON oid = order_id),
 codes_p AS (SELECT *,
@@ -275,6 +288,7 @@ codes_p AS (SELECT *,
 tp AS (SELECT *, concat_ws(' | ', d14, d15, d16, d17, d18, d19, d20, d21) AS dq_reason FROM codes_p)
 """
 
+
 REJECTS = f"""
 quarantine AS (
   SELECT 'customers' AS entity, load_date, dq_reason FROM tc
@@ -306,16 +320,28 @@ def clock(body: str) -> str:
 
 
 def raw_customers(body: str) -> str:
-    return over(body, ENTITIES, RAW_CUSTOMERS)
+    return over(body, ENTITIES, customers_part())
 
 
 def raw_orders(body: str) -> str:
-    return over(body, ENTITIES, RAW_ORDERS)
+    return over(body, ENTITIES, orders_part())
 
 
 def raw_payments(body: str) -> str:
-    return over(body, RAW_PAYMENTS)
+    return over(body, payments_part())
 
 
 def raw_all(body: str) -> str:
-    return over(body, ENTITIES, RAW_CUSTOMERS, RAW_ORDERS, RAW_PAYMENTS, REJECTS)
+    return over(body, ENTITIES, customers_part(), orders_part(), payments_part(), REJECTS)
+
+
+def one_day(body: str) -> str:
+    """The whole raw view as a single first day: rejected parents reject their children."""
+    return over(
+        body,
+        ENTITIES,
+        customers_part(NO_HISTORY),
+        orders_part(ACCEPTED_CUSTOMERS),
+        payments_part(ACCEPTED_ORDERS),
+        REJECTS,
+    )

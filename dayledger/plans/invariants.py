@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 
 from dayledger.fixed_values import CLOSED_STATUSES, REASON_SEPARATOR
 from dayledger.plans.marts import NOWHERE, Marts
-from dayledger.plans.metrics import KEPT, PAID, kopecks_if
+from dayledger.plans.metrics import kept, kopecks_if, paid
 
 
 def _text(*parts: Column | str) -> Column:
@@ -87,7 +87,7 @@ def every_order_has_city(m: Marts) -> DataFrame:
 
 def net_below_paid(m: Marts) -> DataFrame:
     sums = m.orders.where("is_mature").agg(
-        F.sum(kopecks_if(PAID & KEPT)).alias("a"), F.sum(kopecks_if(PAID)).alias("b")
+        F.sum(kopecks_if(paid() & kept())).alias("a"), F.sum(kopecks_if(paid())).alias("b")
     )
     return _result("net_below_paid", sums, F.col("a") < F.col("b"), _text(F.col("b"), " -> ", F.col("a")))
 
@@ -126,8 +126,8 @@ def funnel_never_grows(m: Marts) -> DataFrame:
 
 def payment_not_before_order(m: Marts) -> DataFrame:
     created = m.orders.select("order_id", "created_at")
-    paid = m.payments.select("order_id", "payment_date").join(created, "order_id")
-    return _none("payment_not_before_order", paid, F.col("payment_date") < F.col("created_at"))
+    dated = m.payments.select("order_id", "payment_date").join(created, "order_id")
+    return _none("payment_not_before_order", dated, F.col("payment_date") < F.col("created_at"))
 
 
 def grid_keeps_orders(m: Marts) -> DataFrame:

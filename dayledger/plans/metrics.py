@@ -87,12 +87,25 @@ def _mature(marts: Marts, filters: Filters) -> DataFrame:
     return _orders(marts, filters).where("is_mature")
 
 
-PAID = F.col("paid_at").isNotNull()
-KEPT = (
-    F.col("cancelled_at").isNull() & F.col("returned_at").isNull() & F.col("refunded_at").isNull()
-)
-CANCELLED = F.col("cancelled_at").isNotNull()
-RETURNED = F.col("returned_at").isNotNull()
+def paid() -> Column:
+    return F.col("paid_at").isNotNull()
+
+
+def kept() -> Column:
+    """Neither cancelled, nor returned, nor refunded."""
+    return (
+        F.col("cancelled_at").isNull()
+        & F.col("returned_at").isNull()
+        & F.col("refunded_at").isNull()
+    )
+
+
+def cancelled() -> Column:
+    return F.col("cancelled_at").isNotNull()
+
+
+def returned() -> Column:
+    return F.col("returned_at").isNotNull()
 
 
 def kopecks_if(condition: Column) -> Column:
@@ -112,8 +125,8 @@ def _roubles(kopecks: Column) -> Column:
 
 def gmv_total(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
     """Paid turnover of settled orders in millions."""
-    paid = F.coalesce(F.sum(kopecks_if(PAID)), F.lit(0))
-    return _settled(marts, filters).agg((_roubles(paid) / 1_000_000).alias("gmv_millions"))
+    kopecks = F.coalesce(F.sum(kopecks_if(paid())), F.lit(0))
+    return _settled(marts, filters).agg((_roubles(kopecks) / 1_000_000).alias("gmv_millions"))
 
 
 def order_count(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
@@ -121,12 +134,12 @@ def order_count(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
 
 
 def average_order_value(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
-    value = _share(_roubles(F.sum(kopecks_if(PAID))), F.count_if(PAID))
+    value = _share(_roubles(F.sum(kopecks_if(paid()))), F.count_if(paid()))
     return _settled(marts, filters).agg(value.alias("aov"))
 
 
 def cancellation_share(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
-    share = _share(F.count_if(CANCELLED), F.count("*"))
+    share = _share(F.count_if(cancelled()), F.count("*"))
     return _mature(marts, filters).agg(share.alias("cancelled_share"))
 
 
@@ -149,8 +162,8 @@ def gmv_by_day(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
         _settled(marts, filters)
         .groupBy(day_of("created_at").alias("day"))
         .agg(
-            F.sum(kopecks_if(PAID)).alias("paid"),
-            F.sum(kopecks_if(PAID & KEPT)).alias("net"),
+            F.sum(kopecks_if(paid())).alias("paid"),
+            F.sum(kopecks_if(paid() & kept())).alias("net"),
         )
     )
     # Averaged as integers, so the mean does not depend on the order of addition.
@@ -169,7 +182,7 @@ def average_order_value_by_day(marts: Marts, filters: Filters = EVERYTHING) -> D
     daily = (
         _settled(marts, filters)
         .groupBy(day_of("created_at").alias("day"))
-        .agg(_share(_roubles(F.sum(kopecks_if(PAID))), F.count_if(PAID)).alias("aov"))
+        .agg(_share(_roubles(F.sum(kopecks_if(paid()))), F.count_if(paid())).alias("aov"))
     )
     return trailing_mean(daily, "day", ["aov"])
 
@@ -180,8 +193,8 @@ def outcome_shares_by_day(marts: Marts, filters: Filters = EVERYTHING) -> DataFr
         _mature(marts, filters)
         .groupBy(day_of("created_at").alias("day"))
         .agg(
-            _share(F.count_if(CANCELLED), F.count("*")).alias("cancelled_share"),
-            _share(F.count_if(RETURNED), F.count("*")).alias("returned_share"),
+            _share(F.count_if(cancelled()), F.count("*")).alias("cancelled_share"),
+            _share(F.count_if(returned()), F.count("*")).alias("returned_share"),
         )
     )
 
@@ -197,7 +210,7 @@ def statuses_by_day(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
 def cancellation_reasons_by_day(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
     return (
         _orders(marts, filters)
-        .where(CANCELLED)
+        .where(cancelled())
         .groupBy(day_of("created_at").alias("day"), "cancellation_reason_ru")
         .agg(F.count("*").alias("orders"))
     )
@@ -291,7 +304,7 @@ def _turnover(marts: Marts, orders: DataFrame, dimension: str) -> DataFrame:
     return marts.orders_summed_by_customer_dims(
         orders,
         dims=(dimension,),
-        sums={"paid_kopecks": kopecks_if(PAID), "paid_orders": F.when(PAID, 1).otherwise(0)},
+        sums={"paid_kopecks": kopecks_if(paid()), "paid_orders": F.when(paid(), 1).otherwise(0)},
     ).select(
         dimension,
         _roubles(F.col("paid_kopecks")).alias("gmv"),
@@ -362,7 +375,7 @@ def registration_share_by_channel(marts: Marts, filters: Filters = EVERYTHING) -
 def cancellations_by_reason(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
     return (
         _mature(marts, filters)
-        .where(CANCELLED)
+        .where(cancelled())
         .groupBy("cancellation_reason_ru")
         .agg(F.count("*").alias("orders"))
         .orderBy(F.desc("orders"), "cancellation_reason_ru")
@@ -456,7 +469,7 @@ def cancellation_reason_finding(
 ) -> DataFrame:
     hit = F.count_if(F.col("cancellation_reason_ru") == reason)
     share = F.round(_share(hit * 100, F.count("*")), 1)
-    return marts.orders.where(F.col("is_mature") & CANCELLED).agg(share.alias("share_pct"))
+    return marts.orders.where(F.col("is_mature") & cancelled()).agg(share.alias("share_pct"))
 
 
 def city_share_finding(marts: Marts, city: str = CAPITAL_CITY) -> DataFrame:
