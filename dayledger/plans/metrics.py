@@ -63,11 +63,12 @@ class Filters:
             df = df.where(F.col("acquisition_channel_ru").isin(*self.channels))
         return df
 
-    def of_customers(self, df: DataFrame, customers: DataFrame) -> DataFrame:
+    def of_customers(self, df: DataFrame, marts: Marts) -> DataFrame:
         """For relations that only carry customer_id."""
         if not (self.cities or self.channels):
             return df
-        return df.join(self.by_dimension(customers).select("customer_id"), "customer_id", "left_semi")
+        chosen = self.by_dimension(marts.customers).select("customer_id")
+        return df.join(chosen, "customer_id", "left_semi")
 
 
 EVERYTHING = Filters()
@@ -76,7 +77,7 @@ EVERYTHING = Filters()
 def _orders(marts: Marts, filters: Filters) -> DataFrame:
     # The customer dimensions are only joined where a metric groups by them; filters on
     # them become a semi join.
-    return filters.of_customers(filters.in_period(marts.orders, "created_at"), marts.customers)
+    return filters.of_customers(filters.in_period(marts.orders, "created_at"), marts)
 
 
 def _settled(marts: Marts, filters: Filters) -> DataFrame:
@@ -260,7 +261,7 @@ def new_and_repeat_orders_by_day(marts: Marts, filters: Filters = EVERYTHING) ->
     the orders. Which orders are first is decided on the whole history.
     """
     first_days = (
-        filters.of_customers(marts.orders, marts.customers)
+        filters.of_customers(marts.orders, marts)
         .groupBy("customer_id")
         .agg(F.min("created_at").alias("created_at"))
     )
@@ -289,7 +290,7 @@ def new_and_repeat_orders_by_day(marts: Marts, filters: Filters = EVERYTHING) ->
 def refunds_by_day(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
     """Refunded money by the day it went back, not by the day of the order."""
     refunded = filters.of_customers(
-        filters.in_period(marts.orders.where("refunded_at IS NOT NULL"), "refunded_at"), marts.customers
+        filters.in_period(marts.orders.where("refunded_at IS NOT NULL"), "refunded_at"), marts
     )
     return refunded.groupBy(day_of("refunded_at").alias("day")).agg(
         _roubles(F.sum("amount_kopecks")).alias("refunded_amount")
@@ -404,7 +405,7 @@ def payment_attempts(marts: Marts) -> DataFrame:
 
 
 def orders_per_customer(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
-    counts = filters.of_customers(marts.customer_order_counts, marts.customers)
+    counts = filters.of_customers(marts.customer_order_counts, marts)
     return (
         counts.groupBy("orders_count").agg(F.count("*").alias("customers")).orderBy("orders_count")
     )
