@@ -1,6 +1,15 @@
 """Queries over the given tables, one group per module."""
 
-from dayledger.catalog import invariants, lifecycle, loading, marts, metrics, quality  # noqa: F401
+from dayledger.catalog import (  # noqa: F401
+    invariants,
+    lifecycle,
+    loading,
+    marts,
+    metrics,
+    primitives,
+    quality,
+    scalars,
+)
 from dayledger.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
