@@ -215,9 +215,11 @@ query(
         count(*) AS rows FROM p JOIN o ON o.order_id = p.order_id GROUP BY 1, 2, 3"""
     ),
 )(
-    lambda t: t.marts.payments.select("order_id", "payment_date", F.col("status").alias("payment_status"))
-    .join(
-        t.marts.orders.select("order_id", "created_at", F.col("status").alias("order_status")), "order_id"
+    lambda t: lookups.join_by_key(
+        t.marts.payments.select("order_id", "payment_date", F.col("status").alias("payment_status")),
+        t.marts.orders.select("order_id", "created_at", F.col("status").alias("order_status")),
+        "order_id",
+        "inner",
     )
     .groupBy("payment_status", "order_status", (F.col("payment_date") < F.col("created_at")).alias("early"))
     .agg(rows())

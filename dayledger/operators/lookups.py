@@ -1,8 +1,8 @@
 """Enrichment a rule needs from other rows: copies in the load, earlier keys, parents.
 
-Every helper shuffles pre-aggregated keys, never a whole group of rows, so one key
-holding a large share of the load does not end up in one task; the fact side of each
-left join is split by adaptive skew handling.
+Groups are only ever counted or reduced before a shuffle, and rows meet the result
+through join_by_key, so one key holding a large share of the rows, or rows without a
+key, do not end up in one task.
 """
 
 from __future__ import annotations
@@ -11,6 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def join_by_key(df: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join many rows to the right side's rows by one key; NULL keys match nothing.
+
+    Adaptive execution splits a hot key only where both inputs of the join come straight
+    from a shuffle. A right side that was just grouped by the key would skip its shuffle
+    and lose that, so the keys are compared null-safe: the comparison has its own
+    partitioning and the (smaller) right side is shuffled for it.
+    """
+    side = right.where(F.col(key).isNotNull()).withColumnRenamed(key, "_key")
+    joined = df.join(side, F.col(key).eqNullSafe(F.col("_key")), how)
+    return joined.drop("_key")
+
+
 def with_copies_in_load(df: DataFrame, key: str, out: str = "copies_in_load") -> DataFrame:
     """How many rows of the load share the row's key; NULL keys are counted together.
 
@@ -24,7 +37,7 @@ def with_copies_in_load(df: DataFrame, key: str, out: str = "copies_in_load") ->
         .where("_copies > 1")
     )
     return (
-        df.join(repeated, df[key].eqNullSafe(repeated["_key"]), "left")
+        df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
         .withColumn(out, F.coalesce("_copies", F.lit(1)))
         .drop("_key", "_copies")
     )
@@ -32,8 +45,8 @@ def with_copies_in_load(df: DataFrame, key: str, out: str = "copies_in_load") ->
 
 def with_presence(df: DataFrame, parents: DataFrame, key: str, out: str) -> DataFrame:
     """A flag that is true where the key exists among the parents and NULL where it does not."""
-    keys = parents.select(key).where(F.col(key).isNotNull()).distinct()
-    return df.join(keys.withColumn(out, F.lit(True)), key, "left")
+    keys = parents.select(key).distinct()
+    return join_by_key(df, keys.withColumn(out, F.lit(True)), key)
 
 
 def with_parent_moment(
@@ -44,12 +57,11 @@ def with_parent_moment(
     A parent may have several versions; its moment never changes, so the minimum is it.
     """
     keys = (
-        parents.where(F.col(key).isNotNull())
-        .groupBy(key)
+        parents.groupBy(key)
         .agg(F.min(moment).alias(out))
         .withColumn(found, F.lit(True))
     )
-    return df.join(keys, key, "left")
+    return join_by_key(df, keys, key)
 
 
 def earlier_keys(

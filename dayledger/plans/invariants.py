@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from dayledger.fixed_values import CLOSED_STATUSES, REASON_SEPARATOR
+from dayledger.operators.lookups import join_by_key
 from dayledger.plans.marts import NOWHERE, Marts
 from dayledger.plans.metrics import kept, kopecks_if, paid
 
@@ -126,7 +127,7 @@ def funnel_never_grows(m: Marts) -> DataFrame:
 
 def payment_not_before_order(m: Marts) -> DataFrame:
     created = m.orders.select("order_id", "created_at")
-    dated = m.payments.select("order_id", "payment_date").join(created, "order_id")
+    dated = join_by_key(m.payments.select("order_id", "payment_date"), created, "order_id", "inner")
     return _none("payment_not_before_order", dated, F.col("payment_date") < F.col("created_at"))
 
 

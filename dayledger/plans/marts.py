@@ -33,6 +33,7 @@ from dayledger.functions.moments import (
 )
 from dayledger.functions.text import labelled
 from dayledger.horizons import Horizons
+from dayledger.operators.lookups import join_by_key
 from dayledger.operators.ranking import sequence_number
 from dayledger.operators.reconcile import reason_hits
 from dayledger.operators.series import calendar
@@ -143,7 +144,7 @@ class Marts:
         """Every order once, with its customer's city and channel."""
         dims = self.customers.select("customer_id", *FACT_DIMENSIONS)
         return (
-            self.orders.join(dims, "customer_id", "left")
+            join_by_key(self.orders, dims, "customer_id")
             .na.fill(NOWHERE, list(FACT_DIMENSIONS))
             .select(
                 "order_id",

@@ -24,6 +24,7 @@ from dayledger.fixed_values import (
 )
 from dayledger.functions.moments import day_of
 from dayledger.functions.text import labelled
+from dayledger.operators.lookups import join_by_key
 from dayledger.operators.ranking import exact_percentiles
 from dayledger.operators.series import trailing_mean
 from dayledger.operators.versions import has_unresolved_versions
@@ -68,7 +69,7 @@ class Filters:
         if not (self.cities or self.channels):
             return df
         chosen = self.by_dimension(marts.customers).select("customer_id")
-        return df.join(chosen, "customer_id", "left_semi")
+        return join_by_key(df, chosen, "customer_id", "left_semi")
 
 
 EVERYTHING = Filters()
