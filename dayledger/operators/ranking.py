@@ -76,8 +76,10 @@ def exact_percentiles(
     needed = slots.where(wanted).select("_g", "_s", "_before", "_total")
 
     inside = W.partitionBy("_g", "_s").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    # Null-safe, so no filter is pushed below the counting and both uses share its shuffle.
+    same_slot = F.col(group).eqNullSafe(F.col("_g")) & F.col("_slot").eqNullSafe(F.col("_s"))
     ranked = (
-        counts.join(needed, counts[group].eqNullSafe(needed["_g"]) & (counts["_slot"] == needed["_s"]))
+        counts.join(needed, same_slot)
         .withColumn("_hi", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_lo", F.col("_hi") - F.col("_n"))
     )
