@@ -6,13 +6,11 @@ Files go to a new folder under the cluster's shared one; each query writes whole
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.catalog.oracle import business, case, one_day, over, payments_part, raw_payments
+from dayledger.catalog.oracle import business, one_day, raw_payments
 from dayledger.catalog.quality import zone_free
 from dayledger.catalog.registry import query
-from dayledger.fixed_values import ENTITY_LABELS
-from dayledger.operators import quality
 from dayledger.operators.versions import within_lookback
-from dayledger.plans.day_gate import gate_day, typed
+from dayledger.plans.day_gate import gate_day
 from dayledger.sources import layers, ledger
 from dayledger.sources.driver_tables import LOAD_DATE, DriverTables
 from dayledger.sources.schemas import ENTITY_COLUMNS

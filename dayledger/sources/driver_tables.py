@@ -1,6 +1,6 @@
 """The given test tables read as customers, orders and payments.
 
-Three views of them are offered, all derived by Spark from whole tables:
+Four views of them are offered, all derived by Spark from whole tables:
 
 * business: one row per key, orders with milestones taken from their line items;
 * versions: the same entities re-issued on every day something changed;
