@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import line_dedup, packing, quality_rules, simhash, tiling
+from dayledger.llm import (
+    html_text,
+    line_dedup,
+    packing,
+    pii,
+    planes,
+    quality_rules,
+    simhash,
+    tiling,
+    token_counts,
+    url_filters,
+)
 from dayledger.llm.oracle import ORACLES  # noqa: F401
+from dayledger.sources.layers import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,6 +47,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judged(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), key="registered query")
+    return found.select("row.doc_id", F.col("clean_text").alias("text"), "n_mentions")
+
+
 @query
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
@@ -47,11 +70,29 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("row.doc_id", "n_lines", "n_dropped", digest)
 
 
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cache = shared_folder(spark, "token-counts")
+    return token_counts.counted(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), cache)
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
 
 
+@query
+def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "token-planes")
+    planes.write_ids(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), end_id=1)
+    return planes.read_ids(spark, path)
+
+
+@query
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
