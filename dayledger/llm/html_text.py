@@ -55,6 +55,8 @@ _SCOPES = {"ul", "ol", "dl", "table", "select", "article", "section", "main", "d
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(>|\Z)", re.S
 )
+_UNQUOTED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>)")
+_TAG_START = re.compile(r"</?[a-zA-Z]")
 _NAMED = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
@@ -124,7 +126,11 @@ def blocks_of(page: str) -> list[Block]:
             break
         add(page[at:opens])
         tag = _MARKUP.match(page, opens)
-        if tag is None:  # a sign, not a tag
+        if tag is None:  # a quote is left open, or it is a sign and no tag
+            tag = _UNQUOTED.match(page, opens)
+        if tag is None:
+            if _TAG_START.match(page, opens):  # cut off in the middle
+                break
             add("<")
             at = opens + 1
             continue

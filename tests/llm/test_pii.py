@@ -1,0 +1,90 @@
+import re
+
+from dayledger.llm import pii
+from fixtures import EDGE, docs_of, edge_docs, empty_docs
+
+
+def changed(spark, rows, key="k"):
+    out = pii.pseudonymised(docs_of(spark, rows), key).select("row.doc_id", "clean_text", "n_mentions").collect()
+    return {r[0]: (r[1], r[2]) for r in out}
+
+
+MENTIONS = {
+    "email": ("john.doe42@mail7.example.com", r"[a-z]{4}\.[a-z]{3}\d{2}@[a-z]{4}\d\.example\.com"),
+    "phone": ("+1 (017) 555-7713", r"\+1 \(\d{3}\) \d{3}-\d{4}"),
+    "ip": ("79.31.107.87", r"(?:\d{1,3}\.){3}\d{1,3}"),
+    "card": ("4111-1111-1111-1111", r"4\d{3}-\d{4}-\d{4}-\d{4}"),
+    "secret": ("04dbebab91ab85687d33eeaaf9ac699e1188f962", r"[0-9a-f]{40}"),
+    "upper": ("9233A8ECF7C5B09FE5949719B6B82BC439E9329B", r"[0-9A-F]{40}"),
+    "ssn": ("123-45-6789", r"\d{3}-\d{2}-\d{4}"),
+    "iban": ("DE89 3704 0044 0532 0130 00", r"[A-Z]{2}\d{2}(?: \d{4}){4} \d{2}"),
+    "male": ("Herr Karl Müller", r"Herr \w+ \w+"),
+    "female": ("Señora García", r"Señora \w+"),
+    "cyrillic": ("Госпожа Анна Каренина", r"Госпожа [А-Яа-я]+ [А-Яа-я]+"),
+}
+
+
+def test_every_type_keeps_its_form(spark):
+    rows = [(n, f"Before, {m}. After {m}!!\nAnd <{m}>") for n, (m, _) in enumerate(MENTIONS.values())]
+    got = changed(spark, rows)
+    for n, (kind, (mention, form)) in enumerate(MENTIONS.items()):
+        text, count = got[n]
+        assert count == 3, kind
+        found = re.fullmatch(rf"Before, ({form})\. After \1!!\nAnd <\1>", text)
+        assert found and found[1] != mention, (kind, text)
+    digits = [int(c) for c in reversed(re.sub(r"\D", "", got[3][0].split(". After")[0]))]
+    assert sum(d if i % 2 == 0 else d * 2 // 10 + d * 2 % 10 for i, d in enumerate(digits)) % 10 == 0
+    assert re.search(r"Herr (\w+)", got[8][0])[1] in pii.GIVEN["latin", "male"]
+    assert re.search(r"Госпожа (\w+)", got[10][0])[1] in pii.GIVEN["cyrillic", "female"]
+
+
+def test_spellings_of_one_entity_stay_one(spark):
+    got = changed(spark, [(1, "a@b.org, A@B.ORG"), (2, "4111111111111111 and 4111 1111 1111 1111"), (3, "x A@b.org y")])
+    low, up = got[1][0].split(", ")
+    assert up == low.upper() and got[3][0] == f"x {low} y"
+    first, second = got[2][0].split(" and ")
+    assert second.replace(" ", "") == first
+
+
+def test_clean_texts_stay(spark):
+    texts = ["", "No data 12.5 here, 2024-01-02 10:30", "v1.2.3.4.5 and 1234567 and a@b", "Dr who? Frau im Haus", "1999 2001 2003"]
+    got = changed(spark, list(enumerate(texts)))
+    assert {n: t for n, (t, _) in got.items()} == dict(enumerate(texts))
+    assert changed(spark, [(1, None)]) == {1: (None, 0)}
+
+
+def test_distinct_entities_stay_distinct(spark, monkeypatch):
+    """Few forms make collisions certain; every round settles some."""
+    monkeypatch.setattr(pii, "_ip", lambda digest: pii.F.concat(pii.F.lit("10.0.0."), (pii._number(digest, 0, 200) + 1).cast("string")))
+    rows = [(n, f"from 10.0.0.{n} on") for n in range(1, 41)]
+    got = changed(spark, rows)
+    new = [t for t, _ in got.values()]
+    assert len(set(new)) == 40
+    assert not set(new) & {t for _, t in rows}
+
+
+def test_the_key_decides(spark):
+    rows = [(1, "ask ann@x.org")]
+    assert changed(spark, rows, "k") == changed(spark, rows, "k") != changed(spark, rows, "other")
+
+
+def test_given_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    after = {r[0]: r[1] for r in pii.pseudonymised(docs, "k").select("row.doc_id", "clean_text").collect()}
+    plain = re.compile(r"[\w.+-]+@[\w.-]+\.\w+|\d{16}|(?:\d+\.){3}\d+|\+1 \(\d{3}\) \d{3}-\d{4}|\b[0-9a-fA-F]{32,}\b")
+    for i, text in before.items():
+        for m in plain.findall(text):
+            assert m not in after[i]
+        if not plain.search(text):
+            assert after[i] == text
+        assert plain.sub("", text) == plain.sub("", after[i])
+
+
+def test_edge_rows_and_plan(spark):
+    docs = edge_docs(spark)
+    out = pii.pseudonymised(docs, "k")
+    assert sorted(map(repr, (tuple(r) for r in out.select("row.doc_id", "clean_text").collect()))) == sorted(map(repr, EDGE))
+    assert out.select("row.*").columns == docs.columns
+    assert "Python" not in out._jdf.queryExecution().toString().replace("ExistingRDD", "")
+    assert pii.pseudonymised(empty_docs(spark), "k").collect() == []
