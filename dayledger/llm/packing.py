@@ -79,8 +79,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -
         encode = space_split_ids(tokenizer).encode
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text) + end
+            for doc_id, own in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+                ids = own + end
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[4 * start : 4 * (start + window)]

@@ -105,10 +105,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, kind: int
             return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in CHUNKS.split(", ")])
 
         for batch in batches:
-            for doc_id, text in zip(
-                batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True
-            ):
-                own = encode(text) + end
+            encoded = encode(batch.column("text").to_pylist())
+            for doc_id, plain in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
+                own = plain + end
                 held.append(doc_id)
                 sizes.append(len(own) // 4)
                 ids.append(own)

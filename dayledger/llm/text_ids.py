@@ -3,39 +3,96 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from struct import pack
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 
-#: Pieces of text whose ids a worker keeps; beyond that it starts anew.
-REMEMBERED = 400_000
+#: Characters of text whose unknown pieces are encoded together.
+TOGETHER = 1 << 21
+#: Pieces whose ids a worker keeps: those used lately, and as many from before.
+PARTS_KEPT, STEMS_KEPT = 150_000, 400_000
+#: Signs that often follow a word; a tokenizer that splits words off encodes them apart.
+SIGNS = ".,;:!?#$%&*|"
+
+
+class _Kept:
+    """Values by piece; of what has not been used for a while, pieces are forgotten."""
+
+    def __init__(self, limit: int):
+        self.limit, self.now, self.before = limit, {}, {}
+
+    def unknown(self, pieces: Iterable[str]) -> list[str]:
+        """Those without a value. All others can be looked up in `now` until the next call."""
+        if len(self.now) > self.limit:
+            self.now, self.before = {}, self.now
+        now, before, out = self.now, self.before, []
+        for piece in pieces:
+            if piece not in now:
+                if piece in before:
+                    now[piece] = before[piece]
+                else:
+                    out.append(piece)
+        return out
 
 
 class SpaceSplitIds:
-    """Ids of a tokenizer (a tokenizers .json file) that never joins text across a space.
+    """Ids of a tokenizer (a tokenizers .json file) that never joins text across a space and
+    splits runs of letters off the signs that follow.
 
-    The ids of a text are then those of its space-separated parts, one after the other, so
-    each different part is encoded once. Ids are little-endian unsigned 32-bit integers.
+    The ids of a text are then those of its parts, one after the other, so each different
+    part is encoded once. A part that is a word with signs behind it is the word's ids and
+    the signs' ids; words in ASCII are taken in lower case where the tokenizer does so, too.
+    Ids are little-endian unsigned 32-bit integers.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-
-    def encode(self, text: str | None) -> bytes:
-        import numpy as np
-
-        parts = (text or "").replace("\n", " ").split(" ")
-        new = [x for x in dict.fromkeys(parts) if x not in self.known]
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known = {"": b""}
-                new = list(dict.fromkeys(x for x in parts if x))
-            for part, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.known[part] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, parts))
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        if ids("Ab c") != ids("Ab") + ids("c") or ids("ab!") != ids("ab") + ids("!"):
+            raise ValueError(f"this tokenizer does not split words: {path}")
+        self.folds = ids("ABC") == ids("abc")
+        self.parts, self.stems = _Kept(PARTS_KEPT), _Kept(STEMS_KEPT)
+
+    def _split(self, part: str) -> tuple[str, str]:
+        """The part itself, or its word and the signs behind it."""
+        word = part.rstrip(SIGNS)
+        if not word.isalpha():
+            return part, ""
+        return word.lower() if self.folds and word.isascii() else word, part[len(word) :]
+
+    def _learn(self, parts: Iterable[str]) -> None:
+        unknown = self.parts.unknown(parts)
+        if not unknown:
+            return
+        split = [self._split(part) for part in unknown]
+        new = self.stems.unknown(set().union(*split))
+        stems = self.stems.now
+        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        for piece, e in zip(new, encoded, strict=True):
+            ids = e.ids
+            stems[piece] = pack(f"<{len(ids)}I", *ids)
+        for part, (word, signs) in zip(unknown, split, strict=True):
+            self.parts.now[part] = stems[word] + stems[signs]
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text, in order. Unknown parts of many texts are encoded together."""
+        held, size = [], 0
+        for text in texts:
+            held.append((text or "").replace("\n", " ").split(" "))
+            size += len(text or "")
+            if size >= TOGETHER:
+                yield from self._encoded(held)
+                held, size = [], 0
+        yield from self._encoded(held)
+
+    def _encoded(self, held: list[list[str]]) -> Iterator[bytes]:
+        self._learn(set().union(*held))
+        for parts in held:
+            yield b"".join(map(self.parts.now.__getitem__, parts))
 
 
 @lru_cache

@@ -23,23 +23,24 @@ def whole():
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
-ODD = ["<|endoftext|>", " <|startoftext|>x", "it's", "'s", "e\u0301", "\u0301", " \u0301", "\x1c", "\u2028", "İ", "ΑΣ", "a\tb", "  ", "\n", "\u00a0", "日本", "🙂", "1234", "\u1100\u1161"]
+ODD = ["<|endoftext|>", " <|startoftext|>x", "it's", "'s", "e\u0301", "\u0301", " \u0301", "\x1c", "\u2028", "İ", "ΑΣ", "a\tb", "  ", "\n", "\u00a0", "日本", "🙂", "Word,", "word!?", "It's!", "Ünder.", "<|endoftext", "|>", "x|", "ab's.", "ª.", "ʰ,", "ǅ!", "1234", "\u1100\u1161"]
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(st.sampled_from(ODD), st.text(max_size=6), st.just(" ")), max_size=12).map("".join))
 def test_ids_are_those_of_the_whole_text(whole, text):
-    assert np.frombuffer(space_split_ids(WORD_BPE).encode(text), "<u4").tolist() == whole(text)
+    assert np.frombuffer(next(space_split_ids(WORD_BPE).encode([text])), "<u4").tolist() == whole(text)
 
 
 def test_forgetting_changes_nothing(whole, monkeypatch):
     from dayledger.llm import text_ids
 
-    monkeypatch.setattr(text_ids, "REMEMBERED", 30)
+    monkeypatch.setattr(text_ids, "PARTS_KEPT", 20)
+    monkeypatch.setattr(text_ids, "STEMS_KEPT", 30)
     own = SpaceSplitIds(WORD_BPE)
-    for n in range(20):
-        text = prose(n, 40)
-        assert np.frombuffer(own.encode(text), "<u4").tolist() == whole(text)
+    monkeypatch.setattr(text_ids, "TOGETHER", 300)
+    texts = [prose(n, 40) for n in range(20)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode([*texts, None])] == [*map(whole, texts), []]
 
 
 def crc(ids):
