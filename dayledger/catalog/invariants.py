@@ -1,6 +1,6 @@
 """V01 to V17, each as one row (check_name, ok, detail)."""
 
-from dayledger.catalog.marts import urgent
+from dayledger.catalog.marts import sparse
 from dayledger.catalog.oracle import ENTITIES, business, clock, orders_part, over, payments_part, raw_all
 from dayledger.catalog.registry import query
 from dayledger.plans import invariants as v
@@ -31,36 +31,36 @@ query(
 )(lambda t: v.one_row_per_order(t.version_marts))
 query(
     "v02_conversion_below_one",
-    urgent(
+    sparse(
         _pair(
             v.conversion_below_one,
             "<",
             "a || ' of ' || b",
-            "SELECT count(*) FROM ufo WHERE is_mature AND has_order",
-            "SELECT count(*) FROM ufo WHERE is_mature",
+            "SELECT count(*) FROM sfo WHERE is_mature AND has_order",
+            "SELECT count(*) FROM sfo WHERE is_mature",
         )
     ),
-)(lambda t: v.conversion_below_one(t.urgent_marts))
+)(lambda t: v.conversion_below_one(t.sparse_marts))
 query(
     "v03_flag_agrees_with_date",
-    urgent(_none(v.flag_agrees_with_date, "has_order <> (first_order_at IS NOT NULL)", "ufo")),
-)(lambda t: v.flag_agrees_with_date(t.urgent_marts))
+    sparse(_none(v.flag_agrees_with_date, "has_order <> (first_order_at IS NOT NULL)", "sfo")),
+)(lambda t: v.flag_agrees_with_date(t.sparse_marts))
 query(
     "v04_window_within_history",
-    urgent(
+    sparse(
         _pair(
             v.window_within_history,
             "<=",
             "a || ' <= ' || b",
-            "SELECT count(*) FROM ufo WHERE is_mature AND converted_within_window",
-            "SELECT count(*) FROM ufo WHERE is_mature AND has_order",
+            "SELECT count(*) FROM sfo WHERE is_mature AND converted_within_window",
+            "SELECT count(*) FROM sfo WHERE is_mature AND has_order",
         )
     ),
-)(lambda t: v.window_within_history(t.urgent_marts))
+)(lambda t: v.window_within_history(t.sparse_marts))
 query(
     "v05_no_epoch_first_order",
-    urgent(_none(v.no_epoch_first_order, "CAST(first_order_at AS DATE) = DATE '1970-01-01'", "ufo")),
-)(lambda t: v.no_epoch_first_order(t.urgent_marts))
+    sparse(_none(v.no_epoch_first_order, "CAST(first_order_at AS DATE) = DATE '1970-01-01'", "sfo")),
+)(lambda t: v.no_epoch_first_order(t.sparse_marts))
 query(
     "v06_join_keeps_orders",
     business(_pair(v.join_keeps_orders, "=", VS, "SELECT count(*) FROM od", "SELECT count(*) FROM mo")),

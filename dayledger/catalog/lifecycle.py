@@ -2,16 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from dayledger.catalog.oracle import business, case, listed, raw_all, registered
+from dayledger.catalog.oracle import business, listed, raw_all, registered
 from dayledger.catalog.registry import query
 from dayledger.fixed_values import (
     AWAITING_REFUND_STATUSES,
-    CHANNEL_NON_CONVERSION,
     DEFECT_CODES,
     MOVING_STATUSES,
-    NEVER_ORDER_RATE,
 )
-from dayledger.functions.buckets import never_orders, stable_bucket
+from dayledger.functions.buckets import stable_bucket
 from dayledger.operators.lifecycle import overdue_orders
 from dayledger.operators.reconcile import reconcile
 from dayledger.operators.series import calendar, day_type
@@ -99,17 +97,13 @@ def _(t):
     return days.select("day", day_type("day").alias("day_type"))
 
 
-_CHANNEL = case("acquisition_channel", CHANNEL_NON_CONVERSION).replace("'", "").replace("WHEN ", "WHEN '").replace(
-    " THEN", "' THEN"
-).replace("ELSE acquisition_channel", "ELSE 1.0")
 _BUCKET = "(CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR)), {at}, 12) AS BIGINT) % 10000000) / 10000000.0::DOUBLE"
 
 
 @query(
     "r05_stable_bucket",
     business(
-        f"""SELECT customer_id, {_BUCKET.format(at=1)} AS order_weight_bucket,
-        {_BUCKET.format(at=13)} < least({NEVER_ORDER_RATE}::DOUBLE * ({_CHANNEL})::DOUBLE, 0.95::DOUBLE) AS never_orders
+        f"""SELECT customer_id, {_BUCKET.format(at=1)} AS first_bucket, {_BUCKET.format(at=13)} AS second_bucket
         FROM c"""
     ),
 )
@@ -117,8 +111,8 @@ def _(t):
     as_text = t.customers.withColumn("id", F.col("customer_id").cast("string"))
     return as_text.select(
         "customer_id",
-        stable_bucket("id").alias("order_weight_bucket"),
-        never_orders("id", "acquisition_channel", NEVER_ORDER_RATE).alias("never_orders"),
+        stable_bucket("id").alias("first_bucket"),
+        stable_bucket("id", slice_no=1).alias("second_bucket"),
     )
 
 

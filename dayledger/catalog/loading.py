@@ -19,12 +19,20 @@ PAYMENT_COLUMNS = ENTITY_COLUMNS["payments"]
 CSV_PATH = f"load_date={LOAD_DATE}"
 
 
+#: Appended to a text of every exported row: quotes, a comma and a line break.
+ODD_TEXT = ' "so ""called"", \nnew line'
+
+
 def _export_csv(t: DriverTables, root: str, entity: str) -> str:
     """What a source system would send: one CSV export for the day."""
     path = f"{root}/source/{entity}/{CSV_PATH}/{entity}.csv"
     raw = getattr(t, f"raw_{entity}").select(*ENTITY_COLUMNS[entity])
+    free_text = {"customers": "email", "payments": "payment_method"}.get(entity)
+    if free_text is not None:
+        raw = raw.withColumn(free_text, F.concat(free_text, F.lit(ODD_TEXT)))
     (
         raw.write.option("header", True)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -35,9 +43,11 @@ def _export_csv(t: DriverTables, root: str, entity: str) -> str:
 RAW_PAYMENT_TEXT = """SELECT payment_id, order_id,
   coalesce(strftime(payment_date, '%Y-%m-%d %H:%M:%S'), 'n/a') AS payment_date,
   amount_kopecks, payment_method, status{extra} FROM rp"""
+ODD_PAYMENTS = f"""SELECT * REPLACE (payment_method || replace('{ODD_TEXT}', chr(92) || 'n', chr(10)) AS payment_method)
+  FROM ({RAW_PAYMENT_TEXT.format(extra="")})"""
 
 
-@query("s01_read_source_csv", raw_payments(RAW_PAYMENT_TEXT.format(extra="")))
+@query("s01_read_source_csv", raw_payments(ODD_PAYMENTS))
 def _(t: DriverTables) -> DataFrame:
     path = _export_csv(t, layers.shared_folder(t.spark, "s01"), "payments")
     return layers.read_source_csv(t.spark, path, "payments")
@@ -244,11 +254,11 @@ def _(t: DriverTables) -> DataFrame:
 @query(
     "s13_committed_only",
     business(
-        """SELECT * FROM p_all WHERE load_date IN (SELECT load_date FROM commits WHERE entity = 'customers')"""
+        """SELECT * FROM p_all WHERE load_date IN (SELECT load_date FROM commits)"""
     ),
 )
 def _(t: DriverTables) -> DataFrame:
-    return ledger.committed_only(t.payments, t.load_commits.where("entity = 'customers'"))
+    return ledger.committed_only(t.payments, t.load_commits)
 
 
 @query(

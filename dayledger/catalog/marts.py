@@ -48,36 +48,39 @@ query("m07_customer_first_order", clock("SELECT * FROM first_order"))(
     lambda t: t.clock_marts.customer_first_order
 )
 
-URGENT_FIRST_ORDER = """
-few AS (SELECT order_id, customer_id, created_at FROM o_wide
-        WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'),
-ufo AS (
-  SELECT mc.customer_id, registration_date, city, acquisition_channel_ru,
+SPARSE_FIRST_ORDER = f"""
+everyone AS (
+  SELECT customer_id, registration_date, city, acquisition_channel_ru FROM mc
+  UNION ALL
+  SELECT -1 - s_suppkey, {registered("s_suppkey")}, n_name, '{CHANNEL_LABELS["referral"]}'
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+sfo AS (
+  SELECT everyone.customer_id, registration_date, city, acquisition_channel_ru,
          count(order_id) AS orders_count, count(order_id) > 0 AS has_order,
          count(CASE WHEN created_at >= registration_date
                      AND created_at < registration_date + INTERVAL 30 DAY THEN 1 END) > 0
            AS converted_within_window,
          min(created_at) AS first_order_at,
          date_diff('day', CAST(registration_date AS DATE), CAST(min(created_at) AS DATE)) AS days_to_first_order,
-         registration_date < (SELECT max(created_at) FROM few) - INTERVAL 30 DAY AS is_mature
-  FROM mc LEFT JOIN few ON few.customer_id = mc.customer_id GROUP BY 1, 2, 3, 4)
+         registration_date < (SELECT max(created_at) FROM o) - INTERVAL 30 DAY AS is_mature
+  FROM everyone LEFT JOIN o ON o.customer_id = everyone.customer_id GROUP BY 1, 2, 3, 4)
 """
 
 
-def urgent(body: str) -> str:
-    return business("").rstrip() + "," + URGENT_FIRST_ORDER + body
+def sparse(body: str) -> str:
+    return business("").rstrip() + "," + SPARSE_FIRST_ORDER + body
 
 
-query("m07_customer_first_order_few_orders", urgent("SELECT * FROM ufo"))(
-    lambda t: t.urgent_marts.customer_first_order
+query("m07_customer_first_order_few_orders", sparse("SELECT * FROM sfo"))(
+    lambda t: t.sparse_marts.customer_first_order
 )
 query(
     "m08_first_order_delay_distribution",
-    urgent(
-        """SELECT days_to_first_order, count(*) AS customers FROM ufo
+    sparse(
+        """SELECT days_to_first_order, count(*) AS customers FROM sfo
         WHERE is_mature AND days_to_first_order >= 0 GROUP BY 1"""
     ),
-)(lambda t: t.urgent_marts.first_order_delay_distribution)
+)(lambda t: t.sparse_marts.first_order_delay_distribution)
 
 query(
     "m09_payment_retries_distribution",

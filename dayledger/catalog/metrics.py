@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from dayledger.catalog.marts import FRESHNESS, NUMBERED, STAGE_DURATIONS, urgent
+from dayledger.catalog.marts import FRESHNESS, NUMBERED, STAGE_DURATIONS, sparse
 from dayledger.catalog.oracle import business, case, clock, raw_all
 from dayledger.catalog.registry import query
 from dayledger.fixed_values import RANKED_ENTITY_LABELS
@@ -77,17 +77,17 @@ query(
 )(lambda t: m.statuses_by_day(t.marts))
 query(
     "q11_first_order_delays",
-    urgent(
-        """SELECT days_to_first_order, count(*) AS customers FROM ufo
+    sparse(
+        """SELECT days_to_first_order, count(*) AS customers FROM sfo
         WHERE is_mature AND days_to_first_order >= 0 GROUP BY 1"""
     ),
-)(lambda t: m.first_order_delays(t.urgent_marts))
+)(lambda t: m.first_order_delays(t.sparse_marts))
 query(
     "q12_conversion",
-    urgent(
-        "SELECT sum(CAST(has_order AS INTEGER))::DOUBLE / count(*) AS conversion FROM ufo WHERE is_mature"
+    sparse(
+        "SELECT sum(CAST(has_order AS INTEGER))::DOUBLE / count(*) AS conversion FROM sfo WHERE is_mature"
     ),
-)(lambda t: m.conversion(t.urgent_marts))
+)(lambda t: m.conversion(t.sparse_marts))
 
 HOURS = "quantile_cont(duration_seconds, {p}) / 3600"
 REFUND_DURATIONS = """SELECT CASE WHEN cancelled_at IS NOT NULL THEN 'Отмена' ELSE 'Возврат товара' END
@@ -259,14 +259,38 @@ query(
     ),
 )(lambda t: m.statuses_by_day(t.marts, FILTERS))
 
+PERIOD = m.Filters(period=("1997-01-01", "1999-12-31"))
+query(
+    "q36_conversion_in_period",
+    sparse(
+        """SELECT sum(CAST(has_order AS INTEGER))::DOUBLE / count(*) AS conversion FROM sfo
+        WHERE is_mature AND registration_date >= '1997-01-01' AND registration_date < '2000-01-01'"""
+    ),
+)(lambda t: m.conversion(t.sparse_marts, PERIOD))
+query(
+    "q36_retention_in_period",
+    clock(
+        """SELECT cohort_week, 'нед. ' || lpad(CAST(weeks_since_signup AS VARCHAR), 2, '0') AS week,
+        avg(retention_rate) AS retention FROM cohort_grid
+        WHERE is_mature AND cohort_week_date BETWEEN '2024-01-02' AND '2024-01-20' GROUP BY 1, 2"""
+    ),
+)(lambda t: m.retention(t.clock_marts, m.Filters(period=("2024-01-02", "2024-01-20"))))
+query(
+    "q36_rejected_share_in_period",
+    raw_all(
+        """SELECT sum(invalid_rows)::DOUBLE / sum(total_rows)::DOUBLE AS rejected_share FROM dqm
+        WHERE load_date BETWEEN '1997-01-01' AND '1999-12-31'"""
+    ),
+)(lambda t: m.rejected_share(t.dq_metrics, PERIOD))
+
 query(
     "q37_conversion_finding",
-    urgent(
+    sparse(
         """SELECT round(sum(CAST(has_order AS INTEGER))::DOUBLE * 100 / count(*), 1) AS conversion_pct,
         count(*) AS total, sum(CAST(has_order AS INTEGER))::BIGINT AS converted,
-        (count(*) - sum(CAST(has_order AS INTEGER)))::BIGINT AS rest FROM ufo WHERE is_mature"""
+        (count(*) - sum(CAST(has_order AS INTEGER)))::BIGINT AS rest FROM sfo WHERE is_mature"""
     ),
-)(lambda t: m.conversion_finding(t.urgent_marts))
+)(lambda t: m.conversion_finding(t.sparse_marts))
 query(
     "q38_cancellation_reason_finding",
     business(

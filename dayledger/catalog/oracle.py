@@ -191,9 +191,9 @@ def _code(condition: str, code: str) -> str:
 HISTORY = f"""SELECT DISTINCT CAST(customer_id AS VARCHAR) AS hid FROM c
            WHERE load_date >= DATE '{LOAD_DATE}' - 365 AND load_date < DATE '{LOAD_DATE}'"""
 NO_HISTORY = "SELECT CAST(NULL AS VARCHAR) AS hid WHERE false"
-SOLVENT = "SELECT CAST(c_custkey AS VARCHAR) AS cid FROM customer WHERE c_acctbal > 0"
+CUSTOMERS = "SELECT CAST(c_custkey AS VARCHAR) AS cid FROM customer"
 ACCEPTED_CUSTOMERS = "SELECT DISTINCT customer_id AS cid FROM tc WHERE dq_reason = ''"
-SETTLED = "SELECT CAST(o_orderkey AS VARCHAR) AS oid, o_orderdate AS oat FROM orders WHERE o_orderstatus <> 'P'"
+ORDERS = "SELECT CAST(o_orderkey AS VARCHAR) AS oid, o_orderdate AS oat FROM orders"
 ACCEPTED_ORDERS = "SELECT order_id AS oid, min(created_at) AS oat FROM tor WHERE dq_reason = '' GROUP BY order_id"
 
 
@@ -222,11 +222,12 @@ tc AS (SELECT *, concat_ws(' | ', d01, d02, d03, d04) AS dq_reason FROM codes_c)
 """
 
 
-def orders_part(parents: str = SOLVENT) -> str:
+def orders_part(parents: str = CUSTOMERS) -> str:
     return f"""
 ro AS (
   SELECT CASE WHEN o_totalprice < 2000 THEN '' ELSE CAST(order_id AS VARCHAR) END AS order_id,
-         CASE WHEN o_totalprice < 499000 THEN CAST(customer_id AS VARCHAR) END AS customer_id,
+         CASE WHEN o_totalprice > 100000 AND o_totalprice < 120000 THEN '-' || CAST(customer_id AS VARCHAR)
+              WHEN o_totalprice < 499000 THEN CAST(customer_id AS VARCHAR) END AS customer_id,
          CASE WHEN o_totalprice > 498000 AND o_totalprice < 499000 THEN NULL ELSE created_at END AS created_at,
          CAST(round((o_totalprice - 3000) * 100) AS BIGINT) AS amount_kopecks,
          CASE WHEN o_orderpriority = '3-MEDIUM' THEN ' ' || upper(status)
@@ -260,12 +261,13 @@ tor AS (SELECT *, concat_ws(' | ', d05, d06, d07, d08, d09, d10, d11, d12, d13)
 """
 
 
-def payments_part(parents: str = SETTLED) -> str:
+def payments_part(parents: str = ORDERS) -> str:
     return f"""
 rp AS (
   SELECT CASE WHEN l_quantity = 2 AND l_discount = 0 THEN ' '
               ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS payment_id,
-         CASE WHEN l_quantity = 3 AND l_discount = 0 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS order_id,
+         CASE WHEN l_quantity = 4 AND l_discount = 0 THEN '-' || CAST(l_orderkey AS VARCHAR)
+              WHEN l_quantity = 3 AND l_discount = 0 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS order_id,
          CASE WHEN l_quantity = 1 THEN NULL ELSE l_shipdate END AS payment_date,
          CAST(round((l_extendedprice - 1000) * 100) AS BIGINT) AS amount_kopecks, 'card' AS payment_method,
          CASE WHEN l_returnflag = 'N' THEN 'success' WHEN l_returnflag = 'A' THEN 'Failed '

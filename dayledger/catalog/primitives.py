@@ -1,5 +1,8 @@
 """P, J, A, W, T, U and E: the building blocks, each over whole tables."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.catalog.marts import STAGE_DURATIONS
@@ -501,8 +504,16 @@ query(
 
 query(
     "e01_single_reasons",
-    raw_all("SELECT load_date, code AS reason, count(*) AS quarantined_rows FROM split_reasons WHERE entity = 'orders' GROUP BY 1, 2"),
-)(lambda t: reason_hits(t.quarantine("orders")))
+    raw_all("SELECT entity, load_date, code AS reason, count(*) AS quarantined_rows FROM split_reasons GROUP BY 1, 2, 3"),
+)(
+    lambda t: reduce(
+        DataFrame.unionByName,
+        (
+            reason_hits(t.quarantine(entity)).withColumn("entity", F.lit(entity))
+            for entity in ("customers", "orders", "payments")
+        ),
+    )
+)
 query(
     "e02_hour_axis",
     clock(

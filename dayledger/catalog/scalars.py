@@ -149,11 +149,11 @@ query(
 over_orders(
     "f18_strings",
     """split_part(o_orderpriority, '-', 2) AS word, instr(o_orderpriority, '-') AS dash,
-    lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS padded, o_orderstatus || '/' || o_orderpriority AS joined""",
+    lpad(CAST(o_orderkey AS VARCHAR), 19, '0') AS padded, o_orderstatus || '/' || o_orderpriority AS joined""",
     lambda: {
         "word": F.split("o_orderpriority", "-")[1],
         "dash": F.instr(F.col("o_orderpriority"), "-"),
-        "padded": F.lpad(F.col(KEY).cast("string"), 8, "0"),
+        "padded": F.lpad(F.col(KEY).cast("string"), 19, "0"),
         "joined": F.concat("o_orderstatus", F.lit("/"), "o_orderpriority"),
     },
 )
@@ -189,11 +189,11 @@ over_orders(
 )
 over_orders(
     "f22_casts",
-    "CAST(o_orderstatus = 'F' AS TINYINT) AS flag, CAST(o_orderkey AS BIGINT) AS key64, CAST(o_orderkey AS INTEGER) AS key32",
+    "CAST(o_orderstatus = 'F' AS TINYINT) AS flag, CAST(o_orderkey AS BIGINT) AS key64, CAST(o_orderkey % 1000 AS INTEGER) AS key32",
     lambda: {
         "flag": (F.col("o_orderstatus") == "F").cast("tinyint"),
         "key64": F.col(KEY).cast("bigint"),
-        "key32": F.col(KEY).cast("int"),
+        "key32": (F.col(KEY) % 1000).cast("int"),
     },
 )
 over_orders(

@@ -166,19 +166,6 @@ PROMO_DAY = (11, 11)
 # --- stable buckets --------------------------------------------------------
 
 BUCKETS = 10_000_000
-NEVER_ORDER_RATE = 0.18
-NEVER_ORDER_CEILING = 0.95
-
-# How much likelier than average a channel's registrations are never to order.
-CHANNEL_NON_CONVERSION = {
-    "organic": 0.7,
-    "referral": 0.6,
-    "email": 0.8,
-    "yandex_direct": 1.0,
-    "vk_ads": 1.6,
-    "telegram_ads": 1.6,
-    "social": 1.4,
-}
 
 # --- reconciliation --------------------------------------------------------
 

@@ -5,22 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dayledger.fixed_values import BUCKETS, CHANNEL_NON_CONVERSION, NEVER_ORDER_CEILING
+from dayledger.fixed_values import BUCKETS
 
 SLICE_DIGITS = 12  # 48 bits, so the number fits a BIGINT
 
 
 def stable_bucket(name: str, slice_no: int = 0) -> Column:
-    """Uniform in [0, 1) from one slice of the id's MD5; other slices are independent."""
+    """Uniform in [0, 1) from one slice of the id's MD5; other slices are independent.
+
+    The digest has room for the slices 0 and 1.
+    """
+    if slice_no not in (0, 1):
+        raise ValueError(f"no such slice: {slice_no}")
     digits = F.substring(F.md5(F.col(name).cast("binary")), slice_no * SLICE_DIGITS + 1, SLICE_DIGITS)
     number = F.conv(digits, 16, 10).cast("bigint")
     return (number % BUCKETS) / F.lit(float(BUCKETS))
-
-
-def never_orders(id_column: str, channel_column: str, rate: float) -> Column:
-    """Whether an id falls under its channel's share of registrations that never order."""
-    multiplier = F.lit(1.0)
-    for channel, factor in CHANNEL_NON_CONVERSION.items():
-        multiplier = F.when(F.col(channel_column) == channel, F.lit(factor)).otherwise(multiplier)
-    threshold = F.least(F.lit(rate) * multiplier, F.lit(NEVER_ORDER_CEILING))
-    return stable_bucket(id_column, slice_no=1) < threshold

@@ -43,9 +43,19 @@ def with_copies_in_load(df: DataFrame, key: str, out: str = "copies_in_load") ->
     )
 
 
+def of_keys_in(parents: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """The parents that rows of df refer to.
+
+    Reduced before anything is grouped, so what a day's load costs beyond reading the
+    parents follows the day: its distinct keys are few next to the history and are
+    broadcast at runtime where their measured size allows.
+    """
+    return parents.join(df.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
+
+
 def with_presence(df: DataFrame, parents: DataFrame, key: str, out: str) -> DataFrame:
     """A flag that is true where the key exists among the parents and NULL where it does not."""
-    keys = parents.select(key).distinct()
+    keys = of_keys_in(parents.select(key), df, key).distinct()
     return join_by_key(df, keys.withColumn(out, F.lit(True)), key)
 
 
@@ -57,7 +67,8 @@ def with_parent_moment(
     A parent may have several versions; its moment never changes, so the minimum is it.
     """
     keys = (
-        parents.groupBy(key)
+        of_keys_in(parents.select(key, moment), df, key)
+        .groupBy(key)
         .agg(F.min(moment).alias(out))
         .withColumn(found, F.lit(True))
     )

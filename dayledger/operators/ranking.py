@@ -54,7 +54,8 @@ def exact_percentiles(
         df.where(F.col(value).isNotNull())
         .groupBy(group, value)
         .agg(F.count("*").alias("_n"))
-        .withColumn("_slot", F.floor(F.col(value) / slot_width))
+        # Whole numbers all the way: a double would be inexact beyond 2^53.
+        .withColumn("_slot", F.col(value) - F.pmod(F.col(value), F.lit(slot_width)))
     )
     along = W.partitionBy("_g").orderBy("_s").rowsBetween(W.unboundedPreceding, W.currentRow)
     slots = (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dayledger.fixed_values import HISTORY_LOOKBACK_DAYS
 from dayledger.functions.moments import parsed
 from dayledger.operators import lookups, quality
+from dayledger.operators.versions import within_lookback
 from dayledger.sources.layers import read_day, read_layer, write_day
 from dayledger.sources.schemas import ENTITY_MOMENTS
 
@@ -25,8 +26,18 @@ def typed(raw: DataFrame, entity: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class GateOptions:
+    """lookback_days bounds the history that keys are compared with. parent_lookback_days, if
+    given, bounds the parents, too: children of older ones are then rejected as orphans.
+    """
+
     lookback_days: int = HISTORY_LOOKBACK_DAYS
     strictly_before: bool = True
+    parent_lookback_days: int | None = None
+
+    def parents(self, clean: DataFrame, load_date: str) -> DataFrame:
+        if self.parent_lookback_days is None:
+            return clean
+        return within_lookback(clean, load_date, self.parent_lookback_days)
 
 
 def enriched_customers(
@@ -110,9 +121,11 @@ def gate_day(
     clean_customers = read_layer(spark, clean_root, "customers")
     tagged = tagged_customers(raw("customers"), clean_customers, load_date, options)
     counts["customers"] = write_gated(tagged, data_root, "customers", load_date)
-    tagged = tagged_orders(raw("orders"), read_layer(spark, clean_root, "customers"))
+    parents = options.parents(read_layer(spark, clean_root, "customers"), load_date)
+    tagged = tagged_orders(raw("orders"), parents)
     counts["orders"] = write_gated(tagged, data_root, "orders", load_date)
-    tagged = tagged_payments(raw("payments"), read_layer(spark, clean_root, "orders"))
+    parents = options.parents(read_layer(spark, clean_root, "orders"), load_date)
+    tagged = tagged_payments(raw("payments"), parents)
     counts["payments"] = write_gated(tagged, data_root, "payments", load_date)
 
     metrics = spark.createDataFrame(

@@ -56,6 +56,12 @@ class Filters:
         end = F.date_add(last, 1).cast("timestamp_ntz")
         return df.where((F.col(moment) >= start) & (F.col(moment) < end))
 
+    def without_period(self) -> Filters:
+        """For relations without a time column: a period is refused, not ignored."""
+        if self.period is not None:
+            raise ValueError("the relation has no time column that a period could apply to")
+        return self
+
     def by_dimension(self, df: DataFrame) -> DataFrame:
         """For relations that carry city and channel themselves."""
         if self.cities:
@@ -150,9 +156,9 @@ def data_lag(marts: Marts) -> DataFrame:
     return marts.load_freshness.agg(F.max("hours_since_load").alias("lag_hours"))
 
 
-def rejected_share(dq_metrics: DataFrame) -> DataFrame:
+def rejected_share(dq_metrics: DataFrame, filters: Filters = EVERYTHING) -> DataFrame:
     share = _share(F.sum("invalid_rows"), F.sum("total_rows"))
-    return dq_metrics.agg(share.alias("rejected_share"))
+    return filters.in_period(dq_metrics, "load_date").agg(share.alias("rejected_share"))
 
 
 # --- daily series ----------------------------------------------------------
@@ -228,10 +234,13 @@ def payment_success_by_day(marts: Marts, filters: Filters = EVERYTHING) -> DataF
 
 
 def rejected_share_by_day(
-    dq_metrics: DataFrame, threshold: float = REJECTED_SHARE_THRESHOLD
+    dq_metrics: DataFrame,
+    threshold: float = REJECTED_SHARE_THRESHOLD,
+    filters: Filters = EVERYTHING,
 ) -> DataFrame:
     return (
-        dq_metrics.groupBy("load_date", labelled("entity", RANKED_ENTITY_LABELS).alias("entity"))
+        filters.in_period(dq_metrics, "load_date")
+        .groupBy("load_date", labelled("entity", RANKED_ENTITY_LABELS).alias("entity"))
         .agg(_share(F.sum("invalid_rows"), F.sum("total_rows")).alias("rejected_share"))
         .withColumn("above_threshold", F.col("rejected_share") > threshold)
     )
@@ -406,7 +415,7 @@ def payment_attempts(marts: Marts) -> DataFrame:
 
 
 def orders_per_customer(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
-    counts = filters.of_customers(marts.customer_order_counts, marts)
+    counts = filters.without_period().of_customers(marts.customer_order_counts, marts)
     return (
         counts.groupBy("orders_count").agg(F.count("*").alias("customers")).orderBy("orders_count")
     )
@@ -431,24 +440,33 @@ def hourly_load(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
     """Average orders per hour: filtered sum over all days of that weekday, busy or not."""
     per_hour = _share(F.sum("orders"), F.max("days"))
     return (
-        filters.by_dimension(marts.orders_by_hour_dow)
+        filters.without_period()
+        .by_dimension(marts.orders_by_hour_dow)
         .groupBy("dow_label", "hour_of_day")
         .agg(per_hour.alias("orders_per_hour"))
     )
 
 
-def retention(marts: Marts) -> DataFrame:
-    """Mature cells only; the offset label sorts as text."""
-    offset = F.lpad(F.col("weeks_since_signup").cast("string"), 2, "0")
-    return (
-        marts.customer_cohort_retention.where("is_mature")
-        .groupBy("cohort_week", F.concat(F.lit(WEEK_OFFSET_PREFIX), offset).alias("week"))
+def retention(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
+    """Mature cells only; the offset label sorts as text.
+
+    The period applies to the cohort's week. Labels are as wide as the largest offset, two
+    digits at least; they are made from the grid, which has a row per cohort and week.
+    """
+    cells = (
+        filters.in_period(marts.customer_cohort_retention.where("is_mature"), "cohort_week_date")
+        .groupBy("cohort_week", "weeks_since_signup")
         .agg(F.avg("retention_rate").alias("retention"))
     )
+    number = F.col("weeks_since_signup").cast("string")
+    width = F.greatest(F.lit(2), F.max(F.length(number)).over(W.partitionBy()))
+    label = F.concat(F.lit(WEEK_OFFSET_PREFIX), F.lpad(number, width, F.lit("0")))
+    return cells.select("cohort_week", label.alias("week"), "retention")
 
 
 def conversion(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
-    mature = filters.by_dimension(marts.customer_first_order.where("is_mature"))
+    registered = filters.in_period(marts.customer_first_order, "registration_date")
+    mature = filters.by_dimension(registered.where("is_mature"))
     share = _share(F.count_if("has_order"), F.count("*"))
     return mature.agg(share.alias("conversion"))
 

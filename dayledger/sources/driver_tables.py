@@ -301,13 +301,9 @@ class DriverTables:
         return self.customers.withColumn("customer_id", F.col("customer_id").cast("string"))
 
     @cached_property
-    def solvent_customers(self) -> DataFrame:
+    def parent_customers(self) -> DataFrame:
         """The parents orders are checked against."""
-        return (
-            self.table("customer")
-            .where("c_acctbal > 0")
-            .select(F.col("c_custkey").cast("string").alias("customer_id"))
-        )
+        return self.table("customer").select(F.col("c_custkey").cast("string").alias("customer_id"))
 
     @cached_property
     def raw_orders(self) -> DataFrame:
@@ -322,7 +318,10 @@ class DriverTables:
                 **late,
                 "refunded_at": _text(refunded),
                 "order_id": F.when(price < 2000, "").otherwise(F.col("order_id").cast("string")),
-                "customer_id": F.when(price < 499000, F.col("customer_id").cast("string")),
+                # Customers that don't exist, and none at all.
+                "customer_id": F.when(
+                    (price > 100000) & (price < 120000), F.concat(F.lit("-"), "customer_id")
+                ).when(price < 499000, F.col("customer_id").cast("string")),
                 "created_at": F.when((price > 498000) & (price < 499000), "unknown").otherwise(
                     _text(F.col("created_at"))
                 ),
@@ -343,12 +342,10 @@ class DriverTables:
         )
 
     @cached_property
-    def settled_orders(self) -> DataFrame:
+    def parent_orders(self) -> DataFrame:
         """The parents payments are checked against."""
-        return (
-            self.table("orders")
-            .where("o_orderstatus <> 'P'")
-            .select(F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderdate").alias("created_at"))
+        return self.table("orders").select(
+            F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderdate").alias("created_at")
         )
 
     @cached_property
@@ -359,7 +356,9 @@ class DriverTables:
             F.when((quantity == 2) & full_price, " ")
             .otherwise(F.concat_ws("-", "l_orderkey", "l_linenumber"))
             .alias("payment_id"),
-            F.when(~((quantity == 3) & full_price), F.col("l_orderkey").cast("string")).alias("order_id"),
+            F.when((quantity == 4) & full_price, F.concat(F.lit("-"), "l_orderkey"))
+            .when(~((quantity == 3) & full_price), F.col("l_orderkey").cast("string"))
+            .alias("order_id"),
             F.when(quantity == 1, "n/a").otherwise(_text(F.col("l_shipdate"))).alias("payment_date"),
             _kopecks(F.col("l_extendedprice") - 1000).alias("amount_kopecks"),
             F.lit("card").alias("payment_method"),
@@ -378,16 +377,16 @@ class DriverTables:
             rows = typed(self.raw_customers, "customers")
             return enriched_customers(rows, self.customer_history, LOAD_DATE)
         if entity == "orders":
-            return enriched_orders(typed(self.raw_orders, "orders"), self.solvent_customers)
-        return enriched_payments(typed(self.raw_payments, "payments"), self.settled_orders)
+            return enriched_orders(typed(self.raw_orders, "orders"), self.parent_customers)
+        return enriched_payments(typed(self.raw_payments, "payments"), self.parent_orders)
 
     def tagged(self, entity: str) -> DataFrame:
         if entity == "customers":
             rows = typed(self.raw_customers, "customers")
             return tagged_customers(rows, self.customer_history, LOAD_DATE)
         if entity == "orders":
-            return tagged_orders(typed(self.raw_orders, "orders"), self.solvent_customers)
-        return tagged_payments(typed(self.raw_payments, "payments"), self.settled_orders)
+            return tagged_orders(typed(self.raw_orders, "orders"), self.parent_customers)
+        return tagged_payments(typed(self.raw_payments, "payments"), self.parent_orders)
 
     def quarantine(self, entity: str) -> DataFrame:
         return quality.rejected(self.tagged(entity))
@@ -502,10 +501,16 @@ class DriverTables:
         return Marts({"customers": self.clock_customers, "orders": self.clock_orders})
 
     @cached_property
-    def urgent_marts(self) -> Marts:
-        """Customers against few orders, so that some customers have none."""
-        few = self.table("orders").where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
-        orders = self.orders.join(
-            few.select(F.col("o_orderkey").alias("order_id")), "order_id", "left_semi"
+    def sparse_marts(self) -> Marts:
+        """All orders, and customers some of whom never order: suppliers, under ids below zero."""
+        nation = self.table("nation").select("n_nationkey", F.col("n_name").alias("city"))
+        joined = self.table("supplier").join(nation, F.expr("s_nationkey = n_nationkey"))
+        silent = joined.select(
+            (-1 - F.col("s_suppkey")).alias("customer_id"),
+            _registered("s_suppkey").alias("registration_date"),
+            "city",
+            F.lit("referral").alias("acquisition_channel"),
+            F.concat(F.lower("s_name"), F.lit("@example.org")).alias("email"),
+            day_of(_registered("s_suppkey")).alias("load_date"),
         )
-        return Marts({"customers": self.customers, "orders": orders})
+        return Marts({"customers": self.customers.unionByName(silent), "orders": self.orders})

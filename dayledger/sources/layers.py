@@ -44,15 +44,27 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def read_source_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """One day of the source export; values are not repaired, a file without rows is refused."""
-    rows = (
-        spark.read.schema(source_schema(entity))
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+def read_source_csv(spark: SparkSession, path: str, entity: str, multi_line: bool = True) -> DataFrame:
+    """One day of the source export; values are not repaired, a file without rows is refused.
+
+    Quotes inside quoted values are doubled, and quoted values may hold commas and line
+    breaks. A file with line breaks in values can only be read by one task; multi_line=False
+    lets many tasks read a very large export that has none.
+    """
+    try:
+        rows = (
+            spark.read.schema(source_schema(entity))
+            .option("header", True)
+            .option("encoding", "UTF-8")
+            .option("enforceSchema", False)
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .csv(path)
+        )
+    except AnalysisException as error:
+        if _condition(error) == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no such source file: {path}") from error
+        raise
     if rows.isEmpty():
         raise ValueError(f"source file has no rows: {path}")
     return rows

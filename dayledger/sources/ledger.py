@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayledger.operators.lookups import join_by_key
 from dayledger.sources.layers import clear_day, read_day, read_layer, write_day
 from dayledger.sources.schemas import LEDGER_SCHEMA
 
@@ -55,8 +56,8 @@ def record_commit(spark: SparkSession, warehouse: str, load_date: str, rows: Map
 
 
 def committed_only(df: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows of days that have a marker; markers are at most one small set of rows per day."""
-    return df.join(ledger.select("load_date").distinct(), "load_date", "left_semi")
+    """Rows of days that have a marker; a day of very many rows can be split in the join."""
+    return join_by_key(df, ledger.select("load_date").distinct(), "load_date", "left_semi")
 
 
 def ledger_listing(ledger: DataFrame) -> DataFrame:

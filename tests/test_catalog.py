@@ -6,6 +6,9 @@ import pytest
 from compare import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from dayledger import fixed_values
+from dayledger.catalog import ORACLES, QUERIES
+from dayledger.functions.buckets import stable_bucket
 
 # A sample over the groups; tests/compare.py runs all of them.
 SAMPLED = (
@@ -34,8 +37,9 @@ def test_every_inventory_row_is_registered():
 
 
 def test_every_query_has_comparison_sql():
-    assert set(queries()) == set(oracle_sql())
-    assert all(re.fullmatch(r"[a-z]\d\d_[a-z0-9_]+", name) for name in queries())
+    assert set(QUERIES) == set(ORACLES)
+    assert all(re.fullmatch(r"[a-z]\d\d_[a-z0-9_]+", name) for name in QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry_returns_rows(spark):
@@ -50,3 +54,17 @@ def con(sf_dir):
 @pytest.mark.parametrize("name", SAMPLED)
 def test_equals_duckdb(spark, con, sf_dir, name):
     assert difference(spark, con, name, sf_dir) is None
+
+
+def test_labels_are_the_agreed_ones():
+    """Both sides of the comparison take labels from one place, so a wrong one shows only here."""
+    assert fixed_values.ORDER_STATUS_LABELS["cancelled"] == "Отменён"
+    assert fixed_values.CHANNEL_LABELS["referral"] == "Рекомендации"
+    assert fixed_values.CANCELLATION_LABELS["not_paid_in_time"] == "Не оплачен вовремя"
+    assert fixed_values.WEEK_OFFSET_PREFIX == "нед. "
+    assert set(fixed_values.ORDER_STATUSES) == set(fixed_values.ORDER_STATUS_LABELS)
+
+
+def test_buckets_have_two_slices():
+    with pytest.raises(ValueError):
+        stable_bucket("id", slice_no=2)

@@ -179,3 +179,18 @@ def test_an_open_day_stays_invisible(spark, two_days):
         ledger.load_day(spark, two_days, warehouse, day)
     layers.clear_day(spark, warehouse, ledger.LEDGER, DAY2)
     assert warehouse_marts(spark, warehouse).orders.first()["status"] == "new"
+
+
+def test_quotes_commas_and_line_breaks_in_values(spark, tmp_path):
+    write_csv(tmp_path, "customers", DAY1, ['c1,2026-06-01 10:00:00,"a ""b"", c",organic,"x@y\nz"', "c2,2026-06-01 10:00:00,Омск,email,b@x"])
+    path = f"{tmp_path}/source/customers/load_date={DAY1}/customers.csv"
+    got = layers.read_source_csv(spark, path, "customers").orderBy("customer_id").collect()
+    assert [(r.customer_id, r.city, r.acquisition_channel, r.email) for r in got] == [
+        ("c1", 'a "b", c', "organic", "x@y\nz"),
+        ("c2", "Омск", "email", "b@x"),
+    ]
+
+
+def test_a_missing_source_file_is_named(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="nothing.csv"):
+        layers.read_source_csv(spark, f"{tmp_path}/nothing.csv", "customers")

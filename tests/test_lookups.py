@@ -6,6 +6,14 @@ from dayledger.plans.day_gate import GateOptions, enriched_customers, tagged_ord
 CUSTOMER = "customer_id string, registration_date timestamp"
 
 
+def test_parents_may_be_bounded_by_a_lookback(spark):
+    days = [date(2026, 1, n) for n in (1, 20, 31)]
+    parents = spark.createDataFrame([(str(d.day), d) for d in days], "id string, load_date date")
+    kept = GateOptions(parent_lookback_days=15).parents(parents, "2026-02-01")
+    assert {r.id for r in kept.collect()} == {"20", "31"}
+    assert GateOptions().parents(parents, "2026-02-01") is parents
+
+
 def test_null_ids_are_copies_of_each_other(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4), ("b", 5)], "id string, n int")
     counted = {r["n"]: r["copies_in_load"] for r in lookups.with_copies_in_load(df, "id").collect()}

@@ -1,6 +1,6 @@
 """Hand-sized tables with the edges of every definition."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -279,3 +279,34 @@ def test_enforce_names_what_is_broken(build):
     broken = {part.split(":")[0] for part in str(error.value).split("; ")}
     assert broken == {"conversion_below_one", "net_below_paid", "payment_not_before_order"}
     assert invariants.report(marts).count() == 17
+
+
+def test_an_order_whose_creation_changed_breaks_uniqueness(build):
+    again = build(orders=[order("o", "c", "2026-06-01T00:00:00"), order("o", "c", "2026-06-02T00:00:00", "2026-06-03")])
+    once = build(orders=[order("o", "c", "2026-06-01T00:00:00"), order("o", "c", "2026-06-01T00:00:00", "2026-06-03")])
+    assert not invariants.one_row_per_order(again).first().ok
+    assert invariants.one_row_per_order(once).first().ok
+
+
+def test_retention_labels_hold_more_than_a_hundred_weeks(build):
+    weeks = [datetime(2020, 1, 6) + timedelta(weeks=n) for n in range(116)]
+    marts = build(
+        customers=[customer("c", "2020-01-06T00:00:00")],
+        orders=[order(f"o{n}", "c", w.isoformat()) for n, w in enumerate(weeks) if n != 10],
+    )
+    cells = {r.week: r.retention for r in metrics.retention(marts).collect()}
+    assert len(cells) == 115
+    assert cells["нед. 010"] == 0.0 and cells["нед. 100"] == 1.0
+
+
+def test_period_applies_to_registrations_and_is_refused_without_a_time_column(build):
+    marts = build(
+        customers=[customer("never", "2025-03-01T00:00:00"), customer("buys", "2026-01-05T00:00:00")],
+        orders=[order("o", "buys", "2026-01-06T00:00:00"), order("late", "buys", "2026-09-01T00:00:00")],
+    )
+    year = metrics.Filters(period=("2025-01-01", "2025-12-31"))
+    assert metrics.conversion(marts).first().conversion == 0.5
+    assert metrics.conversion(marts, year).first().conversion == 0.0
+    for metric in (metrics.hourly_load, metrics.orders_per_customer):
+        with pytest.raises(ValueError):
+            metric(marts, year)

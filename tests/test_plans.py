@@ -9,6 +9,7 @@ from dayledger.catalog import QUERIES
 from dayledger.operators import lookups
 from dayledger.operators.versions import latest_version, within_lookback
 from dayledger.plans import metrics
+from dayledger.plans.marts import Marts
 from dayledger.sources.driver_tables import DriverTables
 
 
@@ -64,10 +65,22 @@ def test_lookback_prunes_partitions(spark, tables, tmp_path):
     assert "ReadSchema: struct<payment_id:string>" in keys
 
 
-def test_period_filter_reaches_the_scan(tables):
-    filters = metrics.Filters(period=("1997-01-01", "1997-12-31"))
-    plan = plan_of(filters.in_period(tables.table("orders"), "o_orderdate"))
-    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+def test_period_filter_reaches_the_scan_of_stored_versions(spark, tables, tmp_path):
+    tables.order_versions.write.parquet(str(tmp_path / "orders"))
+    marts = Marts({"orders": spark.read.parquet(str(tmp_path / "orders"))})
+    period = metrics.Filters(period=("1997-01-01", "1997-12-31"))
+    plan = plan_of(metrics.statuses_by_day(marts, period))
+    # Long lists are cut in the plan's text.
+    assert "PushedFilters: [IsNotNull(created_at), GreaterThanOrEqual(" in plan
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*order_id", plan)) == 1
+    # The horizon is the maximum of one column, without resolving versions.
+    assert "ReadSchema: struct<created_at:timestamp_ntz>" in plan
+
+
+def test_parents_are_reduced_to_the_keys_of_the_day(tables):
+    plan = plan_of(tables.enriched("payments"))
+    semi = plan.index("LeftSemi")
+    assert "partial_min" in plan[:semi], "the grouping stands above the semi join"
 
 
 # One of every group whose plan joins, numbers or explodes rows.
