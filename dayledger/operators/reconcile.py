@@ -11,13 +11,19 @@ from dayledger.fixed_values import REASON_SEPARATOR
 
 
 def reason_hits(quarantine: DataFrame) -> DataFrame:
-    """Rows per load day and single rejection code; a row with two codes counts under both."""
+    """Rows per load day and single rejection code; a row with two codes counts under both.
+
+    Rows are counted under their composite reason first, so only the few composites are
+    split.
+    """
     # The separator is quoted because split() takes a regular expression.
     codes = F.split("dq_reason", r"\Q" + REASON_SEPARATOR + r"\E")
     return (
-        quarantine.select("load_date", F.explode(codes).alias("reason"))
+        quarantine.groupBy("load_date", "dq_reason")
+        .agg(F.count("*").alias("_rows"))
+        .select("load_date", F.explode(codes).alias("reason"), "_rows")
         .groupBy("load_date", "reason")
-        .agg(F.count("*").alias("quarantined_rows"))
+        .agg(F.sum("_rows").alias("quarantined_rows"))
     )
 
 

@@ -5,7 +5,7 @@ Each returns one row (check_name, ok, detail) and nothing is collected until ask
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -190,13 +190,43 @@ def report(marts: Marts) -> DataFrame:
     return reduce(DataFrame.unionByName, (check(marts) for check in CHECKS))
 
 
-def enforce(marts: Marts) -> None:
-    """Raise with the name and detail of every check that does not hold."""
+# What a broken check means for whoever reads the numbers.
+MEANING = {
+    "one_row_per_order": "orders are counted more than once in every metric",
+    "conversion_below_one": "customers without an order are missing from the conversion",
+    "flag_agrees_with_date": "conversion and first-order delays disagree",
+    "window_within_history": "more customers convert in time than convert at all",
+    "no_epoch_first_order": "a missing first order is taken for 1970",
+    "join_keeps_orders": "the join with customers multiplies or loses orders",
+    "every_order_has_city": "breakdowns by city lose orders",
+    "net_below_paid": "refunds are not taken off the turnover",
+    "refund_keeps_success": "refunds lower the share of successful payments",
+    "attempts_cover_orders": "orders with payments are missing from the attempts",
+    "at_least_one_attempt": "orders without an attempt are counted as paid for",
+    "funnel_never_grows": "a later stage of the funnel has more orders than an earlier one",
+    "payment_not_before_order": "payments are assigned to the wrong order",
+    "grid_keeps_orders": "the hour grid multiplies or loses orders",
+    "retention_grid_whole": "retention exceeds one or lacks the first week",
+    "open_orders_explained": "orders stay open for no known reason",
+    "reasons_are_single": "rows with several reasons are counted under a mixed one",
+}
+
+
+def enforce(marts: Marts, checks: Sequence[Callable[[Marts], DataFrame]] = CHECKS) -> None:
+    """Raise with every check that does not hold, what was found and what it means.
+
+    A check that can't run counts as broken, and the others still run.
+    """
     broken = []
-    for check in CHECKS:
-        # One row each, by construction.
-        row = check(marts).first()
+    for check in checks:
+        try:
+            # One row each, by construction.
+            row = check(marts).first()
+        except Exception as error:
+            broken.append(f"{check.__name__}: could not run, {str(error).splitlines()[0]}")
+            continue
         if not row["ok"]:
-            broken.append(f"{row['check_name']}: {row['detail']}")
+            name = row["check_name"]
+            broken.append(f"{name}: {row['detail']} ({MEANING.get(name, 'no meaning given')})")
     if broken:
         raise BrokenInvariant("; ".join(broken))

@@ -310,3 +310,17 @@ def test_period_applies_to_registrations_and_is_refused_without_a_time_column(bu
     for metric in (metrics.hourly_load, metrics.orders_per_customer):
         with pytest.raises(ValueError):
             metric(marts, year)
+
+
+def test_every_broken_check_is_reported_with_its_meaning(build):
+    marts = build(orders=[order("o", "c", "2026-06-01T00:00:00"), order("o", "c", "2026-06-02T00:00:00", "2026-06-03")])
+
+    def cannot_run(m):
+        raise KeyError("no such table")
+
+    with pytest.raises(invariants.BrokenInvariant) as raised:
+        invariants.enforce(marts, (cannot_run, invariants.one_row_per_order, invariants.join_keeps_orders))
+    text = str(raised.value)
+    assert "cannot_run: could not run" in text and "one_row_per_order: 2 vs 1 (orders are counted" in text
+    assert "join_keeps_orders" not in text
+    assert {c.__name__ for c in invariants.CHECKS} == set(invariants.MEANING)
