@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.operators.lookups import join_by_key
+from dayledger.sources.current import forget, merge_day
 from dayledger.sources.layers import clear_day, read_day, read_layer, write_day
 from dayledger.sources.schemas import LEDGER_SCHEMA
 
@@ -64,14 +65,24 @@ def ledger_listing(ledger: DataFrame) -> DataFrame:
     return ledger.select("load_date", "entity", "rows", "loaded_at").orderBy("load_date", "entity")
 
 
-def load_day(spark: SparkSession, data_root: str, warehouse: str, load_date: str, force: bool = False) -> bool:
+def load_day(
+    spark: SparkSession,
+    data_root: str,
+    warehouse: str,
+    load_date: str,
+    force: bool = False,
+    keep_current: bool = False,
+) -> bool:
     """Append one processed day to the warehouse tables, at most once.
 
     Clean and quarantine rows and the metrics are written to the day's partitions; the
-    marker is written only after all of them.
+    marker is written only after all of them. keep_current also brings the tables of
+    latest versions up to the day.
     """
     if not prepare_load(spark, warehouse, load_date, force):
         return False
+    if not keep_current:
+        forget(spark, warehouse)
     places = {
         **{entity: (f"{data_root}/clean", entity) for entity in DATA_TABLES[:3]},
         **{f"quarantine_{entity}": (f"{data_root}/quarantine", entity) for entity in DATA_TABLES[:3]},
@@ -82,5 +93,7 @@ def load_day(spark: SparkSession, data_root: str, warehouse: str, load_date: str
         write_day(read_day(spark, root, entity, load_date), warehouse, table, load_date)
         # Counted from the footers of the written files, not by computing the rows again.
         rows[table] = read_day(spark, warehouse, table, load_date).count()
+    if keep_current:
+        merge_day(spark, warehouse, load_date, read_ledger(spark, warehouse))
     record_commit(spark, warehouse, load_date, rows)
     return True

@@ -194,3 +194,52 @@ def test_quotes_commas_and_line_breaks_in_values(spark, tmp_path):
 def test_a_missing_source_file_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="nothing.csv"):
         layers.read_source_csv(spark, f"{tmp_path}/nothing.csv", "customers")
+
+
+def _same_as_history(spark, warehouse):
+    maintained = warehouse_marts(spark, warehouse, current=True)
+    assert maintained.current
+    resolved = warehouse_marts(spark, warehouse)
+    for entity in ("customers", "orders", "payments"):
+        columns = resolved.tables[entity].columns
+        left, right = (getattr(m, entity).select(columns).collect() for m in (maintained, resolved))
+        assert sorted(map(repr, left)) == sorted(map(repr, right)), entity
+
+
+def test_current_tables_equal_the_resolved_history(spark, two_days, monkeypatch):
+    warehouse = f"{two_days}/warehouse"
+    for day in (DAY1, DAY2):
+        gate_day(spark, two_days, day)
+    # An old day after a newer one, a re-run, and a forced reload.
+    assert ledger.load_day(spark, two_days, warehouse, DAY2, keep_current=True)
+    _same_as_history(spark, warehouse)
+    assert ledger.load_day(spark, two_days, warehouse, DAY1, keep_current=True)
+    _same_as_history(spark, warehouse)
+    assert not ledger.load_day(spark, two_days, warehouse, DAY1, keep_current=True)
+    assert ledger.load_day(spark, two_days, warehouse, DAY2, force=True, keep_current=True)
+    _same_as_history(spark, warehouse)
+    # The day comes again without some of its rows: they are gone, or older versions return.
+    clean = layers.read_day(spark, f"{two_days}/clean", "orders", DAY2).collect()
+    assert clean
+    layers.clear_day(spark, f"{two_days}/clean", "orders", DAY2)
+    layers.clear_day(spark, f"{two_days}/clean", "customers", DAY2)
+    assert ledger.load_day(spark, two_days, warehouse, DAY2, force=True, keep_current=True)
+    _same_as_history(spark, warehouse)
+
+
+def test_stale_current_tables_are_not_used_and_are_built_anew(spark, two_days, monkeypatch):
+    warehouse = f"{two_days}/warehouse"
+    for day in (DAY1, DAY2):
+        gate_day(spark, two_days, day)
+    assert ledger.load_day(spark, two_days, warehouse, DAY1, keep_current=True)
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "record_commit", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ledger.load_day(spark, two_days, warehouse, DAY2, keep_current=True)
+    assert not warehouse_marts(spark, warehouse, current=True).current
+    assert ledger.load_day(spark, two_days, warehouse, DAY2, keep_current=True)
+    _same_as_history(spark, warehouse)
+    assert ledger.load_day(spark, two_days, warehouse, DAY1, force=True)  # without merging
+    assert not warehouse_marts(spark, warehouse, current=True).current
+    assert ledger.load_day(spark, two_days, warehouse, DAY1, force=True, keep_current=True)
+    _same_as_history(spark, warehouse)
