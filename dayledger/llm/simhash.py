@@ -35,7 +35,7 @@ SMALL = 16
 _HASHED_AT_ONCE = 1 << 16
 
 
-def _shingles(words: list[bytes], size: int) -> list[bytes]:
+def shingles_of(words: list[bytes], size: int) -> list[bytes]:
     if size == 1:
         return words
     if len(words) < size:
@@ -57,7 +57,7 @@ def fingerprint(text: str | None, words: int, distinct: bool = False) -> int:
     """Bit i is 1 if it is set in more than half of the shingles' XXH64 (seed 42)."""
     import xxhash
 
-    found = _shingles((text or "").encode("utf-8", "replace").translate(LOWER_BYTES).split(), words)
+    found = shingles_of((text or "").encode("utf-8", "replace").translate(LOWER_BYTES).split(), words)
     if distinct:
         found = list(set(found))
     if not found:

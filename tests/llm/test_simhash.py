@@ -130,15 +130,17 @@ def test_components_of_chains(spark):
 
 def plain_near_duplicates(rows, words=5, similarity=0.8):
     """What stays, as a multiset of (id, text), from all pairs."""
+    def words_of(text):
+        return "".join(c.lower() if c.isascii() else c for c in text or "").encode().split()
+
     def shingles(text):
-        w = (text or "").encode().lower().split() if False else "".join(c.lower() if c.isascii() else c for c in text or "").encode().split()
+        w = words_of(text)
         return {b" ".join(w[i : i + words]) for i in range(len(w) - words + 1)} or ({b" ".join(w)} if w else set())
 
     low = -(2**63)
     texts = {}
     for i, t in rows:
-        key = b" ".join("".join(c.lower() if c.isascii() else c for c in t or "").encode().split())
-        texts.setdefault(key, []).append((low if i is None else i, t))
+        texts.setdefault(b" ".join(words_of(t)), []).append((low if i is None else i, t))
     firsts = {key: min(v)[0] for key, v in texts.items()}
     sets = {key: shingles(v[0][1]) for key, v in texts.items()}
     near = [(firsts[a], firsts[b]) for a, b in combinations(sets, 2) if (sets[a] or sets[b]) and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
