@@ -38,6 +38,9 @@ TYPES = (
 PATTERN = "|".join(f"(?:{pattern})" for _, pattern in TYPES)
 DIGITS = ("card", "ssn", "phone")
 
+#: Rounds in which a surrogate has its entity's form; after them it grows.
+SAME_FORM = 3
+
 #: Every pattern's matches hold one of these; most texts hold none and are passed at once.
 HINT = rf"[0-9@]|[a-f]{{32}}|[A-F]{{32}}|AKIA|ghp_|sk-|{ADDRESS}"
 
@@ -131,24 +134,27 @@ def _card(value: Column, digest: Column) -> Column:
     ).otherwise(other)
 
 
-def _email(value: Column) -> Column:
-    """Another local part and domain of the same shape, in a domain reserved for examples."""
+def _email(value: Column, more: Column) -> Column:
+    """Another local part and domain of the same shape, in a domain reserved for examples.
+
+    `more` lengthens the local part.
+    """
     ending = F.regexp_extract(value, r"\.(com|net|org)$", 1)
     local = F.substring_index("drawn", "@", 1)
     labels = F.split(F.substring_index("drawn", "@", -1), r"\.")
     sub = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 2, F.lit(0)))
     domain = F.concat(sub, F.array(F.lit("example"), F.when(ending != "", ending).otherwise(F.lit("org"))))
-    return F.concat(local, F.lit("@"), F.array_join(domain, "."))
+    return F.concat(local, more, F.lit("@"), F.array_join(domain, "."))
 
 
 def _ip(digest: Column) -> Column:
     return F.concat_ws(".", *(_number(digest, i, 254) + 1 for i in range(4)))
 
 
-def _phone(value: Column) -> Column:
-    """The country code (what exceeds ten digits) stays."""
+def _phone(value: Column, more: Column) -> Column:
+    """The country code (what exceeds ten digits) stays; `more` lengthens the number."""
     code = F.greatest(F.length(value) - 10, F.lit(0))
-    return F.concat(F.substring(value, F.lit(1), code), F.substring(F.col("drawn"), code + 1, F.length(value)))
+    return F.concat(F.substring(value, F.lit(1), code), F.substring(F.col("drawn"), code + 1, F.length(value)), more)
 
 
 def _name(value: Column, gender: Column, digest: Column) -> Column:
@@ -170,6 +176,18 @@ def _name(value: Column, gender: Column, digest: Column) -> Column:
     return F.when(value.contains(" "), F.concat_ws(" ", first, last)).otherwise(last)
 
 
+def _syllables(value: Column, digest: Column, count: Column) -> Column:
+    """So many more syllables of the script for the end of a family name."""
+
+    def drawn(script: str) -> Column:
+        known = F.array(*map(F.lit, SYLLABLES[script]))
+        one = F.transform(F.sequence(F.lit(1), count), lambda i: F.get(known, _number(digest, i, len(SYLLABLES[script]))))
+        return F.array_join(one, "")
+
+    more = F.when(value.rlike(r"\p{IsCyrillic}"), drawn("cyrillic")).otherwise(drawn("latin"))
+    return F.when(count > 0, more).otherwise(F.lit(""))
+
+
 def _surrogate(entities: DataFrame, key: str) -> DataFrame:
     """entities (kind, value, gender, attempt) with a candidate surrogate."""
     kind, value = F.col("kind"), F.col("value")
@@ -180,12 +198,16 @@ def _surrogate(entities: DataFrame, key: str) -> DataFrame:
             _alike(value, F.col("digest"))
         ),
     )
+    extra = F.sha2(F.concat_ws("|", seed, F.lit("more")), 512)
+    grown = F.greatest(F.col("attempt") - SAME_FORM, F.lit(0))
+    letters = F.substring(F.translate(extra, "0123456789", "ghijklmnop"), F.lit(1), grown)
+    figures = F.substring(F.translate(extra, "abcdef", "012345"), F.lit(1), grown)
     candidate = (
-        F.when(kind == "email", _email(value))
+        F.when(kind == "email", _email(value, letters))
         .when(kind == "ip", _ip(F.col("digest")))
         .when(kind == "card", _card(value, F.col("digest")))
-        .when(kind == "phone", _phone(value))
-        .when(kind == "name", _name(value, F.col("gender"), F.col("digest")))
+        .when(kind == "phone", _phone(value, figures))
+        .when(kind == "name", F.concat(_name(value, F.col("gender"), F.col("digest")), _syllables(value, extra, grown)))
         .otherwise(F.col("drawn"))
     )
     return drawn.withColumn("surrogate", candidate).drop("digest", "drawn")
@@ -197,9 +219,11 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     No two entities of a kind get the same surrogate, and no surrogate is an entity of the
     corpus. Of entities that draw the same one the first by value keeps it; the others and
     those that drew an entity draw again. Each round is written to the shared folder, and
-    only entities that failed go on, a vanishing share from round to round. An entity whose
-    form leaves no free surrogate (fewer forms than entities) would go on for ever; such
-    forms don't exist among the patterns.
+    only entities that failed go on, a vanishing share from round to round. Forms of few
+    surrogates (a one-letter local part has 26) may have none left: from the round after
+    SAME_FORM on, addresses, phone numbers and names grow by a sign or syllable with every
+    round. The shortest of the other forms, numbers of 9 digits and IP addresses, have a
+    thousand million.
     """
     entities = stored(found.groupBy("kind", "value").agg(F.min("gender").alias("gender")), "entities")
     taken = entities.select("kind", F.col("value").alias("surrogate"))
@@ -220,7 +244,7 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
 
 
 def _written_like(mention: Column, kind: Column, surrogate: Column) -> Column:
-    """The surrogate with the mention's separators, or in its case."""
+    """The surrogate with the mention's separators, or in its case; what it has more stands at the end."""
     start = F.struct(F.lit(1).alias("next"), F.lit("").alias("out"))
 
     def step(state: Column, c: Column) -> Column:
@@ -230,7 +254,10 @@ def _written_like(mention: Column, kind: Column, surrogate: Column) -> Column:
             F.concat(state["out"], F.when(digit, F.substring(surrogate, state["next"], F.lit(1))).otherwise(c)).alias("out"),
         )
 
-    spaced = F.aggregate(F.filter(F.split(mention, ""), lambda c: c != ""), start, step, lambda s: s["out"])
+    def ended(state: Column) -> Column:
+        return F.concat(state["out"], F.substring(surrogate, state["next"], F.length(surrogate)))
+
+    spaced = F.aggregate(F.filter(F.split(mention, ""), lambda c: c != ""), start, step, ended)
     groups = F.trim(F.regexp_replace(surrogate, "(.{4})", "$1 "))
     return (
         F.when(kind.isin(*DIGITS), spaced)

@@ -88,3 +88,22 @@ def test_edge_rows_and_plan(spark):
     assert out.select("row.*").columns == docs.columns
     assert "Python" not in out._jdf.queryExecution().toString().replace("ExistingRDD", "")
     assert pii.pseudonymised(empty_docs(spark), "k").collect() == []
+
+
+def test_forms_with_few_surrogates_end(spark):
+    """More one-letter, one-digit and sign-only local parts than such forms have surrogates."""
+    values = ["_@example.com", "_@a.com", "_@b.com", "%-@c.net"]
+    values += [f"{c}@mail{n}.com" for n, c in enumerate("abcdefghijklmnopqrstuvwxyzabcd")]
+    values += [f"{n}@shop{k}.org" for n in range(10) for k in "ab"]
+    got = changed(spark, [(n, f"write to {v} now") for n, v in enumerate(values)])
+    new = [re.fullmatch(r"write to (\S+@(?:\S+\.)?example\.(?:com|net|org)) now", t)[1] for t, _ in got.values()]
+    assert len(set(new)) == len(values) and not set(new) & set(values)
+
+
+def test_crowded_phones_and_names_grow(spark, monkeypatch):
+    monkeypatch.setattr(pii, "_alike", lambda value, digest, hexadecimal=False: pii.F.concat(pii.F.lit("555000000"), pii._letter(digest, pii.F.lit(0), "0123456789")))
+    monkeypatch.setattr(pii, "_name", lambda value, gender, digest: pii.F.lit("Babe"))
+    rows = [(n, f"call 555-123-45{n:02d} on") for n in range(30)] + [(100 + n, f"Herr Bau{c} kam") for n, c in enumerate("abcdefgh")]
+    got = changed(spark, rows)
+    assert len({t for t, _ in got.values()}) == 38
+    assert all(re.fullmatch(r"call 555-000-000\d+ on|Herr Babe[a-z]* kam", t) for t, _ in got.values())
