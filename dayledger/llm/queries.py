@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +11,15 @@ from pyspark.sql import functions as F
 
 from dayledger.llm import (
     html_text,
+    language_id,
     line_dedup,
     packing,
+    periodic_runs,
     pii,
     planes,
     quality_rules,
     simhash,
+    spelling_variants,
     tiling,
     token_counts,
     url_filters,
@@ -96,3 +101,56 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def misspelt(doc_id: int | None, words: Counter) -> Counter:
+    """Words of op11: of some words of a text all occurrences lack one letter."""
+    if doc_id is None:
+        return words
+    start = zlib.crc32(f"{doc_id}:".encode())
+    out: Counter = Counter()
+    for word, n in words.items():
+        h = zlib.crc32(word.encode(), start)
+        k = h % len(word)
+        out[word if h % 97 else word[:k] + word[k + 1 :]] += n
+    return out
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"), misspelt)
+
+
+@query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "lang", "text")
+    model = language_id.learned(docs.where("NOT held_out"))
+    return language_id.identified(docs.drop("lang"), model)
+
+
+def repeated_from_somewhere(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Words of op13: every tenth text goes on with copies of some words from a place on."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), prepare=repeated_from_somewhere)
+    line = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", line), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
