@@ -288,15 +288,17 @@ class Cells:
 
 
 def cells_of(words: DataFrame) -> Cells:
-    """Planes from a sample of up to SAMPLE words, the same for the same words.
+    """Planes from a sample of about SAMPLE words, the same for the same words.
 
-    The sample decides where cells are cut and nothing else. To the driver come the sample
-    and a row for each length there is.
+    The sample, the words whose hash is below its share of all, decides where cells are cut
+    and nothing else. To the driver come the sample and a row for each length there is.
     """
     lengths = words.groupBy(F.length("word").alias("length")).agg(F.count("*").alias("words")).collect()
     short = words.where(F.length("word") <= LONGEST_IN_TREE)
     sample: dict[int, list[str]] = {}
-    for row in short.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE).collect():
+    share = min(1.0, SAMPLE / max(1, sum(row.words for row in lengths)))
+    drawn = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
+    for row in short.where(drawn).select("word").orderBy("word").collect():
         sample.setdefault(len(row.word), []).append(row.word)
     trees, first, number = {}, {}, 0
     for row in sorted(lengths, key=lambda row: row.length):
