@@ -9,9 +9,11 @@ language in which its words score best on average.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterable, Iterator
+import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +38,19 @@ PENALTY = 1.0
 UNKNOWN = "und"
 #: Counts that a task holds before it passes them on, and unseen words a worker remembers.
 HELD, REMEMBERED = 500_000, 100_000
+#: Texts whose unseen words are scored together.
+TOGETHER = 64
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: Up to U+024F there are no marks, and these are all the letters.
+_LATIN_WORD, _BEYOND_LATIN = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ɏ]+"), re.compile("[^\x00-\u024f]")
 COUNTS = "lang string, size int, feature string, n long"
 
 
 def words_in(text: str | None) -> list[str]:
     """Runs of letters, with their marks, in lower case."""
-    return _WORD.findall(text.lower()) if text else []
+    lowered = (text or "").lower()
+    return (_WORD if _BEYOND_LATIN.search(lowered) else _LATIN_WORD).findall(lowered)
 
 
 def grams_in(word: str, size: int) -> list[str]:
@@ -52,44 +59,46 @@ def grams_in(word: str, size: int) -> list[str]:
     return [padded[k : k + size] for k in range(len(padded) - size + 1)]
 
 
-def _batch(counts: Counter) -> pa.RecordBatch:
-    columns = zip(*counts, strict=True) if counts else ((), (), ())
-    types = (pa.string(), pa.int32(), pa.string())
-    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-    arrays.append(pa.array(list(counts.values()), pa.int64()))
-    return pa.RecordBatch.from_arrays(arrays, ["lang", "size", "feature", "n"])
+class _Counts:
+    """Counts by language, passed on as rows whenever there are many."""
 
+    def __init__(self, whole: bool):
+        self.whole, self.of = whole, defaultdict(Counter)
 
-def _counting(features: Iterator[tuple[tuple[str, int, str], int]]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-    for feature, n in features:
-        counts[feature] += n
-        if len(counts) >= HELD:
-            yield _batch(counts)
-            counts = Counter()
-    yield _batch(counts)
+    def full(self) -> bool:
+        return sum(map(len, self.of.values())) >= HELD
 
+    def rows(self) -> pa.RecordBatch:
+        langs = [lang for lang, own in self.of.items() for _ in own]
+        features = [feature for own in self.of.values() for feature in own]
+        n = [n for own in self.of.values() for n in own.values()]
+        sizes = [0] * len(features) if self.whole else list(map(len, features))
+        self.of.clear()
+        columns = zip((langs, sizes, features, n), (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["lang", "size", "feature", "n"])
 
-def _words_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def features():
-        for batch in batches:
-            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-                name = lang.as_py()
-                for word, n in Counter(words_in(text.as_py())).items():
-                    yield (name, 0, word), n
 
-    return _counting(features())
+def _words_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = _Counts(whole=True)
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            counts.of[lang].update(words_in(text.as_py()))
+            if counts.full():
+                yield counts.rows()
+    yield counts.rows()
 
 
 def _grams_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def features():
-        for batch in batches:
-            for row in batch.to_pylist():
-                for size in range(1, LONGEST_GRAM + 1):
-                    for gram in grams_in(row["feature"], size):
-                        yield (row["lang"], size, gram), row["n"]
-
-    return _counting(features())
+    counts = _Counts(whole=False)
+    for batch in batches:
+        for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "feature", "n")), strict=True):
+            own = counts.of[lang]
+            for size in range(1, LONGEST_GRAM + 1):
+                for gram in grams_in(word, size):
+                    own[gram] += n
+        if counts.full():
+            yield counts.rows()
+    yield counts.rows()
 
 
 def _summed(counts: DataFrame) -> DataFrame:
@@ -105,7 +114,9 @@ def feature_counts(texts: DataFrame) -> DataFrame:
     """
     ship(texts.sparkSession)
     words = stored(_summed(texts.select("lang", "text").mapInArrow(_words_of_texts, COUNTS)), "language-words")
-    grams = _summed(words.mapInArrow(_grams_of_words, COUNTS))
+    # A short table would be read by few tasks; each of its rows makes some forty n-grams.
+    spread = words.repartition(4 * texts.sparkSession.sparkContext.defaultParallelism)
+    grams = _summed(spread.mapInArrow(_grams_of_words, COUNTS))
     return stored(words.unionByName(grams), "language-features")
 
 
@@ -128,7 +139,8 @@ def _kept(counts: DataFrame, languages: int) -> DataFrame:
             F.sum(F.col("n") * F.col("rows")).alias("total"),
         )
     )
-    return counts.where(fitting).join(bounds, ["lang", "size"]).where("n >= least")
+    # Six rows for each language, all of whose names the model brings to the driver anyway.
+    return counts.where(fitting).join(F.broadcast(bounds), ["lang", "size"]).where("n >= least")
 
 
 @dataclass(frozen=True)
@@ -141,40 +153,61 @@ class Model:
     rows: list[dict[str, int]]
     scores: list[np.ndarray]
 
-    def word_scores(self, word: str) -> np.ndarray | None:
-        """Of a word outside the model: the mean over its longest known n-grams."""
+
+class Judge:
+    """A model in use. Unseen words keep what their n-grams gave them, while there is room."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._forget(REMEMBERED)
+
+    def _forget(self, room: int) -> None:
+        known = self.model.scores[0]
+        self.scores = np.concatenate([known, np.zeros((room, known.shape[1]), np.float32)])
+        self.rows, self.used = dict(self.model.rows[0]), len(known)
+
+    def _learn(self, words: list[str]) -> None:
+        """Score words that the model does not have by the mean over their longest known n-grams."""
+        left = words
         for size in range(LONGEST_GRAM, 0, -1):
-            rows = self.rows[size]
-            found = [rows[gram] for gram in grams_in(word, size) if gram in rows]
-            if found:
-                return self.scores[size][found].mean(axis=0, dtype=np.float64)
-        return None
-
-    def identify(self, text: str | None, unseen: dict[str, np.ndarray | None]) -> tuple[str, float]:
-        """The best language and its share of the likelihood of an average word."""
-        words = Counter(words_in(text))
-        if not words or not self.languages:
+            get = self.model.rows[size].get
+            found = [[row for gram in grams_in(word, size) if (row := get(gram)) is not None] for word in left]
+            judged = [word for word, rows in zip(left, found, strict=True) if rows]
+            left = [word for word, rows in zip(left, found, strict=True) if not rows]
+            if judged:
+                lengths = np.array([len(rows) for rows in found if rows])
+                flat = np.fromiter(chain.from_iterable(found), np.int64, lengths.sum())
+                sums = np.add.reduceat(self.model.scores[size][flat], np.cumsum(lengths) - lengths, dtype=np.float64)
+                last = self.used + len(judged)
+                self.scores[self.used : last] = sums / lengths[:, None]
+                self.rows.update(zip(judged, range(self.used, last), strict=True))
+                self.used = last
+        self.rows.update(dict.fromkeys(left, -1))  # no letter of theirs is known
+
+    def identify(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The best language of each text and its share of the likelihood of an average word."""
+        counted = [Counter(words_in(text)) for text in texts]
+        every = set().union(*counted)
+        unseen = [word for word in every if word not in self.rows]
+        if self.used + len(unseen) > len(self.scores):
+            self._forget(max(REMEMBERED, len(every)))
+            unseen = [word for word in every if word not in self.rows]
+        if unseen:
+            self._learn(unseen)
+        return [self._best(words) for words in counted]
+
+    def _best(self, words: Counter) -> tuple[str, float]:
+        if not words:
             return UNKNOWN, 0.0
-        known = self.rows[0]
-        rows = [known[word] for word in words if word in known]
-        times = [n for word, n in words.items() if word in known]
-        total = np.zeros(len(self.languages))
-        if rows:
-            total += np.asarray(times, np.float64) @ self.scores[0][rows].astype(np.float64)
-        judged = sum(times)
-        for word, n in words.items():
-            if word in known:
-                continue
-            if word not in unseen:
-                unseen[word] = self.word_scores(word)
-            if unseen[word] is not None:
-                total += n * unseen[word]
-                judged += n
-        if not judged:
-            return self.languages[self.usual], self.usual_share
-        mean = total / judged
+        rows = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+        times = np.fromiter(words.values(), np.float64, len(words))
+        if rows.min() < 0:
+            rows, times = rows[rows >= 0], times[rows >= 0]
+            if not len(rows):
+                return self.model.languages[self.model.usual], self.model.usual_share
+        mean = (times @ self.scores[rows]) / times.sum()
         best = int(np.argmin(mean))
-        return self.languages[best], float(1.0 / np.sum(10.0 ** (mean[best] - mean)))
+        return self.model.languages[best], float(1.0 / np.sum(10.0 ** (mean[best] - mean)))
 
 
 def learned(texts: DataFrame) -> Model:
@@ -228,15 +261,13 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     schema = source.drop("text").schema.add("lang_pred", "string").add("score", "double")
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
-        unseen: dict[str, np.ndarray | None] = {}
+        judge = Judge(shared.value) if shared.value.languages else None
         for batch in batches:
-            texts: Iterable = batch.column(batch.num_columns - 1)
-            answers = []
-            for text in texts:
-                answers.append(held.identify(text.as_py(), unseen))
-                if len(unseen) > REMEMBERED:
-                    unseen.clear()
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            answers: list[tuple[str, float]] = []
+            for first in range(0, len(texts), TOGETHER):
+                part = texts[first : first + TOGETHER]
+                answers += judge.identify(part) if judge else [(UNKNOWN, 0.0)] * len(part)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:-1],

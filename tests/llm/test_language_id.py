@@ -57,7 +57,7 @@ def test_scores_are_those_of_the_definition(spark, model):
     rows = [(lang, text_in(lang, n, 60)) for lang in SOUNDS for n in range(30)]
     for lang in SOUNDS:
         for text in (text_in(lang, 999, 25), text_in(lang, 5, 3) + " xkq wézghi ло", "sar"):
-            got, score = model.identify(text, {})
+            got, score = language_id.Judge(model).identify([text])[0]
             wanted, exactly = scores_by_hand(rows, text)
             assert got == wanted and score == pytest.approx(exactly, abs=1e-4)
 
@@ -72,9 +72,19 @@ def test_held_out_texts_are_told_apart(spark, model):
 
 def test_unseen_words_back_off_to_shorter_grams(model):
     assert all(word not in model.rows[0] for word in ("wezghipolzuwez", "митжаб"))
-    assert model.identify("wezghipolzuwez", {})[0] == "bb"
-    assert model.identify("Митжаб", {})[0] == "dd"
-    assert model.identify("漢字", {}) == (model.languages[model.usual], model.usual_share)
+    assert language_id.Judge(model).identify(["wezghipolzuwez"])[0][0] == "bb"
+    assert language_id.Judge(model).identify(["Митжаб"])[0][0] == "dd"
+    assert language_id.Judge(model).identify(["漢字"])[0] == (model.languages[model.usual], model.usual_share)
+
+
+def test_forgetting_unseen_words_changes_nothing(model, monkeypatch):
+    texts = [text_in(lang, 2000 + n, 40) for n in range(10) for lang in SOUNDS]
+    wanted = [language_id.Judge(model).identify([text])[0] for text in texts]
+    monkeypatch.setattr(language_id, "REMEMBERED", 7)
+    judge = language_id.Judge(model)
+    got = [judge.identify([text])[0] for text in texts]
+    assert [lang for lang, _ in got] == [lang for lang, _ in wanted]
+    assert [score for _, score in got] == pytest.approx([score for _, score in wanted])
 
 
 def test_texts_without_letters_and_without_a_model(spark, model):
