@@ -6,14 +6,15 @@ Files go to a new folder under the cluster's shared one; each query writes whole
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.catalog.oracle import business, one_day, raw_payments
+from dayledger.catalog.oracle import business, one_day, raw_payments, registered
 from dayledger.catalog.quality import zone_free
 from dayledger.catalog.registry import query
-from dayledger.operators.versions import within_lookback
+from dayledger.operators.versions import latest_version, within_lookback
 from dayledger.plans.day_gate import gate_day
 from dayledger.sources import layers, ledger
 from dayledger.sources.driver_tables import LOAD_DATE, DriverTables
 from dayledger.sources.schemas import ENTITY_COLUMNS
+from dayledger.sources.warehouse import warehouse_marts
 
 PAYMENT_COLUMNS = ENTITY_COLUMNS["payments"]
 CSV_PATH = f"load_date={LOAD_DATE}"
@@ -237,6 +238,64 @@ def _(t: DriverTables) -> DataFrame:
     return loaded.select("entity", "rows", *flags)
 
 
+#: Versions up to the first day are loaded with it, all later ones with the second.
+LOADS = ("1995-06-17", "1999-12-31")
+
+
+def _write_loads(t: DriverTables, root: str) -> None:
+    """Two processed days: of each key the newest of its versions that fall to the day."""
+    first = F.col("load_date") <= F.to_date(F.lit(LOADS[0]))
+    versions = {
+        "customers": (t.customer_versions, ["customer_id"], []),
+        "orders": (t.order_versions, ["order_id"], []),
+        "payments": (t.payments, ["payment_id"], ["payment_date", "amount_kopecks", "status"]),
+    }
+    for day, part in zip(LOADS, (first, ~first), strict=True):
+        for entity, (rows, keys, ties) in versions.items():
+            newest = latest_version(rows.where(part), keys, tie_breaks=ties).drop("load_date")
+            layers.write_day(newest, f"{root}/clean", entity, day)
+            rejected = newest.where("false").withColumn("dq_reason", F.lit(""))
+            layers.write_day(rejected, f"{root}/quarantine", entity, day)
+        metrics = t.spark.createDataFrame([], "entity string, valid_rows bigint, invalid_rows bigint, total_rows bigint")
+        layers.write_day(metrics, root, "dq_metrics", day)
+
+
+@query(
+    "w04_maintained_after_reloads",
+    business(
+        f"""SELECT 'customers' AS entity, CAST(customer_id AS VARCHAR) AS id, city AS state, registration_date AS at
+        FROM (SELECT customer_id, registration_date, city, load_date FROM c UNION ALL
+              SELECT s_suppkey, {registered("s_suppkey")}, n_name, CAST({registered("s_suppkey")} AS DATE) + 1
+              FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+        QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY load_date DESC) = 1
+        UNION ALL SELECT 'orders', CAST(order_id AS VARCHAR), status, created_at FROM o
+        UNION ALL SELECT 'payments', payment_id, status, payment_date FROM p"""
+    ),
+)
+def _(t: DriverTables) -> DataFrame:
+    """The second day is loaded, then the first, then both again by force, each keeping the state."""
+    root = layers.shared_folder(t.spark, "w04")
+    warehouse = f"{root}/warehouse"
+    _write_loads(t, root)
+    for day, force in ((LOADS[1], False), (LOADS[0], False), (LOADS[1], True), (LOADS[0], True)):
+        ledger.load_day(t.spark, root, warehouse, day, force, keep_current=True)
+    marts = warehouse_marts(t.spark, warehouse, current=True)
+    if not marts.current:
+        raise RuntimeError("the loads kept no state")
+    parts = [
+        marts.tables[entity].select(
+            F.lit(entity).alias("entity"), F.col(key).cast("string").alias("id"), F.col(state).alias("state"),
+            F.col(at).cast("timestamp_ntz").alias("at"),
+        )
+        for entity, key, state, at in (
+            ("customers", "customer_id", "city", "registration_date"),
+            ("orders", "order_id", "status", "created_at"),
+            ("payments", "payment_id", "status", "payment_date"),
+        )
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     "s12_record_commit",
     one_day(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.operators.key_filter import key_filter, may_be_in
 
 def join_by_key(df: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join many rows to the right side's rows by one key; NULL keys match nothing.
@@ -44,30 +45,40 @@ def with_copies_in_load(df: DataFrame, key: str, out: str = "copies_in_load") ->
 
 
 def of_keys_in(parents: DataFrame, df: DataFrame, key: str) -> DataFrame:
-    """The parents that rows of df refer to.
+    """The parents that rows of df refer to, and a few others.
 
-    Reduced before anything is grouped, so what a day's load costs beyond reading the
-    parents follows the day: its distinct keys are few next to the history and are
-    broadcast at runtime where their measured size allows.
+    A filter of df's keys is applied where the parents are scanned, so what is shuffled of
+    a long history follows the day's load. The caller's join on the key is what decides.
     """
-    return parents.join(df.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
+    return parents.where(may_be_in(key_filter(df, key), key))
 
 
-def with_presence(df: DataFrame, parents: DataFrame, key: str, out: str) -> DataFrame:
-    """A flag that is true where the key exists among the parents and NULL where it does not."""
-    keys = of_keys_in(parents.select(key), df, key).distinct()
+def with_presence(
+    df: DataFrame, parents: DataFrame, key: str, out: str, keys_of: DataFrame | None = None
+) -> DataFrame:
+    """A flag that is true where the key exists among the parents and NULL where it does not.
+
+    keys_of holds the same keys as df where these are cheaper to read, as before a join.
+    """
+    keys = of_keys_in(parents.select(key), df if keys_of is None else keys_of, key).distinct()
     return join_by_key(df, keys.withColumn(out, F.lit(True)), key)
 
 
 def with_parent_moment(
-    df: DataFrame, parents: DataFrame, key: str, moment: str, found: str, out: str
+    df: DataFrame,
+    parents: DataFrame,
+    key: str,
+    moment: str,
+    found: str,
+    out: str,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """The parent's timestamp next to each row, and whether there is a parent at all.
 
-    A parent may have several versions; its moment never changes, so the minimum is it.
+    keys_of is as for with_presence. A parent may have several versions; its moment never changes, so the minimum is it.
     """
     keys = (
-        of_keys_in(parents.select(key, moment), df, key)
+        of_keys_in(parents.select(key, moment), df if keys_of is None else keys_of, key)
         .groupBy(key)
         .agg(F.min(moment).alias(out))
         .withColumn(found, F.lit(True))

@@ -49,18 +49,18 @@ def enriched_customers(
     history = lookups.earlier_keys(
         clean, "customer_id", load_date, options.lookback_days, options.strictly_before
     )
-    return lookups.with_presence(copies, history, "customer_id", "in_history")
+    return lookups.with_presence(copies, history, "customer_id", "in_history", keys_of=customers)
 
 
 def enriched_orders(orders: DataFrame, clean_customers: DataFrame) -> DataFrame:
     copies = lookups.with_copies_in_load(orders, "order_id")
-    return lookups.with_presence(copies, clean_customers, "customer_id", "customer_known")
+    return lookups.with_presence(copies, clean_customers, "customer_id", "customer_known", keys_of=orders)
 
 
 def enriched_payments(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
     copies = lookups.with_copies_in_load(payments, "payment_id")
     return lookups.with_parent_moment(
-        copies, clean_orders, "order_id", "created_at", "order_known", "order_created_at"
+        copies, clean_orders, "order_id", "created_at", "order_known", "order_created_at", keys_of=payments
     )
 
 

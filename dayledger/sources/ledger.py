@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.operators.lookups import join_by_key
-from dayledger.sources.current import forget, merge_day
-from dayledger.sources.layers import clear_day, read_day, read_layer, write_day
+from dayledger.sources.current import publish
+from dayledger.sources.layers import clear_day, read_day, read_if_present, write_day
 from dayledger.sources.schemas import LEDGER_SCHEMA
 
 LEDGER = "_load_commits"
@@ -25,8 +27,16 @@ DATA_TABLES = (
 
 
 def read_ledger(spark: SparkSession, warehouse: str) -> DataFrame:
-    ledger = read_layer(spark, warehouse, LEDGER)
-    return spark.createDataFrame([], LEDGER_SCHEMA) if ledger is None else ledger
+    """The rows of all markers. Markers of loads that were not given a commit have none."""
+    path = f"{warehouse}/{LEDGER}"
+    if read_if_present(spark, path) is None:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+
+
+def commits_of(ledger: DataFrame) -> dict[date, str]:
+    """The commit of every loaded day; one row a day comes to the driver."""
+    return {r.load_date: r.commit for r in ledger.groupBy("load_date").agg(F.max("commit").alias("commit")).collect()}
 
 
 def is_committed(spark: SparkSession, warehouse: str, load_date: str) -> bool:
@@ -48,10 +58,12 @@ def prepare_load(spark: SparkSession, warehouse: str, load_date: str, force: boo
     return True
 
 
-def record_commit(spark: SparkSession, warehouse: str, load_date: str, rows: Mapping[str, int]) -> None:
-    """Mark the day as complete: one row per table, written last."""
-    marker = spark.createDataFrame(list(rows.items()), "entity string, rows bigint").withColumn(
-        "loaded_at", F.current_timestamp()
+def record_commit(
+    spark: SparkSession, warehouse: str, load_date: str, rows: Mapping[str, int], commit: str | None = None
+) -> None:
+    """Mark the day as complete: one row per table, written last. commit names the load."""
+    marker = spark.createDataFrame(list(rows.items()), "entity string, rows bigint").withColumns(
+        {"loaded_at": F.current_timestamp(), "commit": F.lit(commit or uuid.uuid4().hex)}
     )
     write_day(marker.coalesce(1), warehouse, LEDGER, load_date)
 
@@ -76,13 +88,11 @@ def load_day(
     """Append one processed day to the warehouse tables, at most once.
 
     Clean and quarantine rows and the metrics are written to the day's partitions; the
-    marker is written only after all of them. keep_current also brings the tables of
-    latest versions up to the day.
+    marker is written only after all of them. keep_current also writes the state of the
+    tables of latest versions that holds the day; the marker makes it visible.
     """
     if not prepare_load(spark, warehouse, load_date, force):
         return False
-    if not keep_current:
-        forget(spark, warehouse)
     places = {
         **{entity: (f"{data_root}/clean", entity) for entity in DATA_TABLES[:3]},
         **{f"quarantine_{entity}": (f"{data_root}/quarantine", entity) for entity in DATA_TABLES[:3]},
@@ -93,7 +103,8 @@ def load_day(
         write_day(read_day(spark, root, entity, load_date), warehouse, table, load_date)
         # Counted from the footers of the written files, not by computing the rows again.
         rows[table] = read_day(spark, warehouse, table, load_date).count()
+    commit = uuid.uuid4().hex
     if keep_current:
-        merge_day(spark, warehouse, load_date, read_ledger(spark, warehouse))
-    record_commit(spark, warehouse, load_date, rows)
+        publish(spark, warehouse, load_date, commit, commits_of(read_ledger(spark, warehouse)))
+    record_commit(spark, warehouse, load_date, rows, commit)
     return True

@@ -66,6 +66,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("entity", T.StringType()),
         T.StructField("rows", T.LongType()),
         T.StructField("loaded_at", T.TimestampType()),
+        T.StructField("commit", T.StringType()),
         T.StructField("load_date", T.DateType()),
     ]
 )
