@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from struct import pack
@@ -14,8 +15,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 TOGETHER = 1 << 21
 #: Pieces whose ids a worker keeps: those used lately, and as many from before.
 PARTS_KEPT, STEMS_KEPT = 300_000, 300_000
-#: Signs that often follow a word; a tokenizer that splits words off encodes them apart.
-SIGNS = ".,;:!?#$%&*|"
+#: Pieces that are encoded as one text, and the character that stands between them there.
+JOINED, BETWEEN = 512, "\x01"
 
 
 class _Kept:
@@ -39,43 +40,66 @@ class _Kept:
 
 
 class SpaceSplitIds:
-    """Ids of a tokenizer (a tokenizers .json file) that never joins text across a space and
-    splits runs of letters off the signs that follow.
+    """Ids of a tokenizer (a tokenizers .json file) that never joins text across a space.
 
     The ids of a text are then those of its parts, one after the other, so each different
-    part is encoded once. A part that is a word with signs behind it is the word's ids and
-    the signs' ids; words in ASCII are taken in lower case where the tokenizer does so, too.
-    Ids are little-endian unsigned 32-bit integers.
+    part is encoded once, as a whole; parts in ASCII are taken in lower case where the
+    tokenizer does so, too. Many parts are encoded as one text, with a character between
+    them that no other text shares a token with; parts that hold it themselves, or one of
+    the tokenizer's added tokens, are encoded one by one. Ids are little-endian unsigned
+    32-bit integers.
     """
 
     def __init__(self, path: str):
+        import numpy as np
         from tokenizers import Tokenizer
 
+        self.numpy = np
         self.tokenizer = Tokenizer.from_file(path)
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
-        if ids("Ab c") != ids("Ab") + ids("c") or ids("ab!") != ids("ab") + ids("!"):
-            raise ValueError(f"this tokenizer does not split words: {path}")
+        between = ids(BETWEEN)
+        if ids("Ab c") != ids("Ab") + ids("c") or ids(f"a. {BETWEEN} b") != ids("a.") + between + ids("b"):
+            raise ValueError(f"this tokenizer does not split text at spaces: {path}")
+        if len(between) != 1:
+            raise ValueError(f"this tokenizer has no token for U+0001: {path}")
+        self.between = between[0]
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.alone = re.compile("|".join(map(re.escape, [BETWEEN, *added])))
         self.folds = ids("ABC") == ids("abc")
         self.parts, self.stems = _Kept(PARTS_KEPT), _Kept(STEMS_KEPT)
 
+    def _ids(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Pieces with their ids, in any order."""
+        if self.alone.search(" ".join(pieces)):
+            single = [piece for piece in pieces if self.alone.search(piece)]
+            for piece, e in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
+                yield piece, pack(f"<{len(e.ids)}I", *e.ids)
+            pieces = [piece for piece in pieces if not self.alone.search(piece)]
+        np = self.numpy
+        for first in range(0, len(pieces), JOINED):
+            some = pieces[first : first + JOINED]
+            (e,) = self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join(some)], add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            data, start = ids.tobytes(), 0
+            ends = [*(4 * np.flatnonzero(ids == self.between)).tolist(), len(data)]
+            for piece, end in zip(some, ends, strict=True):
+                yield piece, data[start:end]
+                start = end + 4
+
     def _learn(self, parts: Iterable[str]) -> None:
         unknown = self.parts.unknown(parts)
         if not unknown:
             return
-        words = [part.rstrip(SIGNS) for part in unknown]
-        words = [word if word.isalpha() else part for word, part in zip(words, unknown, strict=True)]
-        signs = [part[len(word) :] for word, part in zip(words, unknown, strict=True)]
-        if self.folds:  # only letters: special tokens keep their case
-            words = [word.lower() if word.isascii() and word.isalpha() else word for word in words]
-        new = self.stems.unknown({*words, *signs})
-        stems = self.stems.now
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for piece, e in zip(new, encoded, strict=True):
-            ids = e.ids
-            stems[piece] = pack(f"<{len(ids)}I", *ids)
-        found = self.parts.now
-        for part, word, sign in zip(unknown, words, signs, strict=True):
-            found[part] = stems[word] + stems[sign] if sign else stems[word]
+        stems = unknown
+        if self.folds:  # but no part may become an added token by it
+            if self.alone.search(" ".join(unknown).lower()):
+                stems = [low if p.isascii() and not self.alone.search(low := p.lower()) else p for p in unknown]
+            else:
+                stems = [p.lower() if p.isascii() else p for p in unknown]
+        new = self.stems.unknown(set(stems))
+        known = self.stems.now
+        known.update(self._ids(new))
+        self.parts.now.update(zip(unknown, map(known.__getitem__, stems), strict=True))
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order. Unknown parts of many texts are encoded together."""

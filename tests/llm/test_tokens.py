@@ -32,6 +32,18 @@ def test_ids_are_those_of_the_whole_text(whole, text):
     assert np.frombuffer(next(space_split_ids(WORD_BPE).encode([text])), "<u4").tolist() == whole(text)
 
 
+@pytest.mark.parametrize("sign", [".", ",", ";", ":", "!", "?", "#", "$", "%", "&", "*", "|", "'", "\x01"])
+def test_every_letter_before_every_sign(whole, sign):
+    letters = [chr(c) for c in range(0x30000) if chr(c).isalpha()]
+    text = " ".join(f"A{letter}{sign}" for letter in letters)
+    assert np.frombuffer(next(SpaceSplitIds(WORD_BPE).encode([text])), "<u4").tolist() == whole(text)
+
+
+def test_capitals_whose_small_letter_ends_in_a_mark(whole):
+    text = "G\u00dcNE\u015eL\u0130. \u0130, \u0958! a\x01b \x01 <|endoftext|>\x01 X<|ENDOFTEXT|>"
+    assert np.frombuffer(next(SpaceSplitIds(WORD_BPE).encode([text])), "<u4").tolist() == whole(text)
+
+
 def test_forgetting_changes_nothing(whole, monkeypatch):
     from dayledger.llm import text_ids
 
