@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.sources.layers import shared_folder
+from dayledger.sources.storage import remove
 
 #: White space of the word rules: space, tab, line feed, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -20,6 +23,8 @@ NO_ID = -(2**63)
 #: Of bytes: A-Z become a-z, every other byte stays, so UTF-8 stays intact.
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _shipped: set[str] = set()
 
 
@@ -48,6 +53,30 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove a table that `stored` wrote, after its last use."""
+    files = table.inputFiles()
+    if files:
+        remove(table.sparkSession, files[0].rsplit("/", 1)[0])
+
+
+@contextmanager
+def shuffles_end_with_their_query(spark: SparkSession) -> Iterator[None]:
+    """Let Spark remove a query's shuffle files when it ends, not when the driver forgets it.
+
+    For steps that store what they made: nothing reads these files a second time.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z become a-z and nothing else changes.
 
