@@ -1,3 +1,4 @@
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -39,6 +40,12 @@ def test_every_letter_before_every_sign(whole, sign):
     assert np.frombuffer(next(SpaceSplitIds(WORD_BPE).encode([text])), "<u4").tolist() == whole(text)
 
 
+def test_capitals_before_every_mark(whole):
+    marks = [chr(c) for c in range(0x20000) if unicodedata.category(chr(c)).startswith("M")]
+    text = " ".join(f"{c}{mark}, X{mark}{c}É" for mark in marks for c in "AIKS")
+    assert np.frombuffer(next(SpaceSplitIds(WORD_BPE).encode([text])), "<u4").tolist() == whole(text)
+
+
 def test_capitals_whose_small_letter_ends_in_a_mark(whole):
     text = "G\u00dcNE\u015eL\u0130. \u0130, \u0958! a\x01b \x01 <|endoftext|>\x01 X<|ENDOFTEXT|>"
     assert np.frombuffer(next(SpaceSplitIds(WORD_BPE).encode([text])), "<u4").tolist() == whole(text)
