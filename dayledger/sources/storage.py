@@ -21,32 +21,3 @@ def remove(spark: SparkSession, path: str) -> None:
     """A file, or a folder with everything in it; nothing happens if there is none."""
     files, place = _located(spark, path)
     files.delete(place, True)
-
-
-def create_exclusively(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a new file; False, and nothing written, if there is one already.
-
-    Atomic where the file system creates files atomically, as HDFS and local disks do.
-    """
-    files, place = _located(spark, path)
-    files.mkdirs(place.getParent())
-    try:
-        out = files.create(place, False)
-    except Exception as error:  # the gateway wraps what the file system throws
-        if files.exists(place):
-            return False
-        raise error
-    try:
-        out.write(bytearray(text, "utf-8"))
-    finally:
-        out.close()
-    return True
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    files, place = _located(spark, path)
-    stream = files.open(place)
-    try:
-        return bytes(stream.readAllBytes()).decode("utf-8")
-    finally:
-        stream.close()
