@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -17,6 +18,16 @@ TOGETHER = 1 << 21
 PARTS_KEPT, STEMS_KEPT = 300_000, 300_000
 #: Pieces that are encoded as one text, and the character that stands between them there.
 JOINED, BETWEEN = 512, "\x01"
+#: What stands between plain words, which hold no sign.
+BETWEEN_WORDS = "!"
+#: Signs that a word is parted from: all of ASCII but the apostrophe, which may belong to both.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+# The steps before the model of a tokenizer that treats runs of letters, single
+# digits and runs of signs one by one.
+RUNS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+RUN_NORMALIZERS = {"NFC", "Replace", "Lowercase"}
 
 
 class _Kept:
@@ -25,18 +36,14 @@ class _Kept:
     def __init__(self, limit: int):
         self.limit, self.now, self.before = limit, {}, {}
 
-    def unknown(self, pieces: Iterable[str]) -> list[str]:
+    def unknown(self, pieces: set[str]) -> list[str]:
         """Those without a value. All others can be looked up in `now` until the next call."""
         if len(self.now) > self.limit:
             self.now, self.before = {}, self.now
-        now, before, out = self.now, self.before, []
-        for piece in pieces:
-            if piece not in now:
-                if piece in before:
-                    now[piece] = before[piece]
-                else:
-                    out.append(piece)
-        return out
+        missing = pieces.difference(self.now)
+        again = missing.intersection(self.before)
+        self.now.update((piece, self.before[piece]) for piece in again)
+        return list(missing - again)
 
 
 class SpaceSplitIds:
@@ -48,6 +55,11 @@ class SpaceSplitIds:
     them that no other text shares a token with; parts that hold it themselves, or one of
     the tokenizer's added tokens, are encoded one by one. Ids are little-endian unsigned
     32-bit integers.
+
+    Where the tokenizer parts runs of letters from runs of signs, signs of ASCII behind a
+    letter of ASCII are taken off and both sides are looked up: nothing there composes or
+    changes with its neighbour. Lower-case words of ASCII letters stay as they are in all
+    steps before the model, so they are given to the model without these steps.
     """
 
     def __init__(self, path: str):
@@ -62,44 +74,88 @@ class SpaceSplitIds:
             raise ValueError(f"this tokenizer does not split text at spaces: {path}")
         if len(between) != 1:
             raise ValueError(f"this tokenizer has no token for U+0001: {path}")
-        self.between = between[0]
         added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.alone = re.compile("|".join(map(re.escape, [BETWEEN, *added])))
         self.folds = ids("ABC") == ids("abc")
         self.parts, self.stems = _Kept(PARTS_KEPT), _Kept(STEMS_KEPT)
-
-    def _ids(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Pieces with their ids, in any order."""
-        if self.alone.search(" ".join(pieces)):
-            single = [piece for piece in pieces if self.alone.search(piece)]
-            for piece, e in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
-                yield piece, pack(f"<{len(e.ids)}I", *e.ids)
-            pieces = [piece for piece in pieces if not self.alone.search(piece)]
+        self.words = self._plain_words() if self._takes_runs() else None
+
+    def _takes_runs(self) -> bool:
+        if self.tokenizer.normalizer is None or self.tokenizer.pre_tokenizer is None:
+            return False
+        before = json.loads(self.tokenizer.normalizer.__getstate__())
+        if not {step["type"] for step in before.get("normalizers", [before])} <= RUN_NORMALIZERS:
+            return False
+        steps = json.loads(self.tokenizer.pre_tokenizer.__getstate__()).get("pretokenizers", [])
+        if [step["type"] for step in steps] != ["Split", "ByteLevel"]:
+            return False
+        split, octets = steps
+        alone = split["pattern"] == {"Regex": RUNS} and split["behavior"] == "Removed" and split["invert"]
+        return alone and not octets["add_prefix_space"] and not octets["use_regex"]
+
+    def _plain_words(self):
+        """The same model behind a cut at spaces and nothing else."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        words = Tokenizer(self.tokenizer.model)
+        words.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        return words
+
+    def _together(self, tokenizer, pieces: list[str], between: str) -> Iterator[tuple[str, bytes]]:
+        """Pieces with their ids; many are encoded as one text, with `between` in between."""
         np = self.numpy
+        (sign,) = tokenizer.encode(between, add_special_tokens=False).ids
         for first in range(0, len(pieces), JOINED):
             some = pieces[first : first + JOINED]
-            (e,) = self.tokenizer.encode_batch_fast([f" {BETWEEN} ".join(some)], add_special_tokens=False)
+            (e,) = tokenizer.encode_batch_fast([f" {between} ".join(some)], add_special_tokens=False)
             ids = np.array(e.ids, "<u4")
             data, start = ids.tobytes(), 0
-            ends = [*(4 * np.flatnonzero(ids == self.between)).tolist(), len(data)]
+            ends = [*(4 * np.flatnonzero(ids == sign)).tolist(), len(data)]
             for piece, end in zip(some, ends, strict=True):
                 yield piece, data[start:end]
                 start = end + 4
 
-    def _learn(self, parts: Iterable[str]) -> None:
+    def _ids(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Pieces with their ids, in any order."""
+        if self.alone.search(" ".join(pieces)):
+            single = [piece for piece in pieces if self.alone.search(piece)]
+            for piece, e in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
+                yield piece, pack(f"<{len(e.ids)}I", *e.ids)
+            pieces = [piece for piece in pieces if not self.alone.search(piece)]
+        if self.words is not None:
+            plain = [p for p in pieces if p.isascii() and p.isalpha() and p.islower()]
+            yield from self._together(self.words, plain, BETWEEN_WORDS)
+            pieces = [p for p in pieces if not (p.isascii() and p.isalpha() and p.islower())]
+        yield from self._together(self.tokenizer, pieces, BETWEEN)
+
+    def _learn(self, parts: set[str]) -> None:
         unknown = self.parts.unknown(parts)
         if not unknown:
             return
-        stems = unknown
-        if self.folds:  # but no part may become an added token by it
-            if self.alone.search(" ".join(unknown).lower()):
-                stems = [low if p.isascii() and not self.alone.search(low := p.lower()) else p for p in unknown]
-            else:
-                stems = [p.lower() if p.isascii() else p for p in unknown]
-        new = self.stems.unknown(set(stems))
+        whole = set()  # no part may become an added token, or lose one, by what follows
+        together = " ".join(unknown)
+        if self.alone.search(together) or self.alone.search(together.lower()):
+            whole = {p for p in unknown if self.alone.search(p) or self.alone.search(p.lower())}
+        stems, tails = unknown, None
+        if self.words is not None:
+            stems, tails = [], []
+            for part in unknown:
+                stem = part.rstrip(SIGNS)
+                if stem and stem[-1] in LETTERS and part not in whole:
+                    stems.append(stem)
+                    tails.append(part[len(stem) :])
+                else:
+                    stems.append(part)
+                    tails.append("")
+        if self.folds:
+            stems = [s.lower() if s.isascii() and s not in whole else s for s in stems]
+        new = self.stems.unknown({*stems, *(tails or ())})
         known = self.stems.now
         known.update(self._ids(new))
-        self.parts.now.update(zip(unknown, map(known.__getitem__, stems), strict=True))
+        found = map(known.__getitem__, stems)
+        if tails is not None:
+            found = map(bytes.__add__, found, map(known.__getitem__, tails))
+        self.parts.now.update(zip(unknown, found, strict=True))
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order. Unknown parts of many texts are encoded together."""

@@ -51,6 +51,23 @@ def test_capitals_whose_small_letter_ends_in_a_mark(whole):
     assert np.frombuffer(next(SpaceSplitIds(WORD_BPE).encode([text])), "<u4").tolist() == whole(text)
 
 
+@pytest.mark.parametrize("before", ["", "don't", "1", "É", "e\u0301", "Σ", "\u0958", "--", "x\x01"])
+def test_signs_behind_letters_of_ascii(whole, before):
+    signs = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    runs = [*signs, *(a + b for a in signs for b in signs), "...'s", "$$$", "!'t!", "</", "=\u0338"]
+    text = " ".join(f"{before}{letter}{run}" for letter in "aZ" for run in runs)
+    own = SpaceSplitIds(WORD_BPE)
+    assert own.words is not None
+    assert np.frombuffer(next(own.encode([text])), "<u4").tolist() == whole(text)
+
+
+def test_the_longer_way_gives_the_same(whole):
+    own = SpaceSplitIds(WORD_BPE)
+    own.words = None
+    text = prose(1, 400) + " Word, word!? It's! <|endoftext|> x"
+    assert np.frombuffer(next(own.encode([text])), "<u4").tolist() == whole(text)
+
+
 def test_forgetting_changes_nothing(whole, monkeypatch):
     from dayledger.llm import text_ids
 
