@@ -1,12 +1,16 @@
 """Q01 to Q42."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.catalog.marts import FRESHNESS, NUMBERED, STAGE_DURATIONS, sparse
 from dayledger.catalog.oracle import business, case, clock, raw_all
 from dayledger.catalog.registry import query
 from dayledger.fixed_values import RANKED_ENTITY_LABELS
+from dayledger.operators import sketches
 from dayledger.plans import metrics as m
+from dayledger.sources import layers
+from dayledger.sources import sketches as stored
 
 PAID = "paid_at IS NOT NULL"
 KEPT = "cancelled_at IS NULL AND returned_at IS NULL AND refunded_at IS NULL"
@@ -105,6 +109,23 @@ query(
     business(f"SELECT refund_kind, {SPREAD} FROM ({REFUND_DURATIONS}) GROUP BY refund_kind"),
 )(lambda t: _rounded(m.refund_hours(t.marts), "refund_kind"))
 
+
+
+@query(
+    "q13_refund_hours_sketched",
+    business(
+        f"SELECT refund_kind, count(*) AS values_total, true AS within FROM ({REFUND_DURATIONS}) GROUP BY 1"
+    ),
+)
+def _(t) -> DataFrame:
+    """Sketches stored by the day of the refund, merged for all days, against the exact ranks."""
+    root, durations = layers.shared_folder(t.spark, "q13"), m.refund_durations_by_day(t.marts)
+    stored.store_days(durations, root, "refunds", "refund_day", "refund_kind", "duration_seconds")
+    found = stored.read_sketches(t.spark, root, "refunds")
+    checked = sketches.checked_percentiles(durations, found, "refund_kind", "duration_seconds", m.PERCENTILES)
+    return checked.select("refund_kind", "values_total", "within")
+
+
 TOP = f"""SELECT city, {GMV} AS gmv, {AOV} AS aov FROM od WHERE is_mature
   GROUP BY city ORDER BY gmv DESC, city LIMIT 10"""
 query("q14_average_order_value_by_city_top10", business(f"SELECT city, aov FROM ({TOP})"))(

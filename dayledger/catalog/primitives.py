@@ -27,12 +27,14 @@ from dayledger.fixed_values import (
 )
 from dayledger.functions.moments import day_of, monday_of
 from dayledger.functions.text import blank, labelled, normalised, outside_vocabulary
-from dayledger.operators import lookups, quality
+from dayledger.operators import lookups, quality, sketches
 from dayledger.operators.reconcile import reason_hits
 from dayledger.operators.series import calendar, trailing_mean
 from dayledger.operators.versions import latest_version, within_lookback
 from dayledger.plans import metrics as m
 from dayledger.plans.day_gate import typed
+from dayledger.sources import layers
+from dayledger.sources import sketches as stored
 
 
 def rows(name="rows"):
@@ -326,6 +328,24 @@ query(
         t.payments, "status", "amount_kopecks", m.PERCENTILES, slot_width=10_000
     ).select("status", *(F.round(p, 3).alias(p) for p in m.PERCENTILES))
 )
+
+
+@query(
+    "a08_sketched_percentiles",
+    business(
+        """SELECT status, count(amount_kopecks) AS values_total, true AS within
+        FROM p_all WHERE amount_kopecks IS NOT NULL GROUP BY 1"""
+    ),
+)
+def _(t) -> DataFrame:
+    """Sketches stored per load_date, read back, merged and held against the exact ranks."""
+    root = layers.shared_folder(t.spark, "a08")
+    stored.store_days(t.payments, root, "payments", "load_date", "status", "amount_kopecks")
+    found = stored.read_sketches(t.spark, root, "payments")
+    checked = sketches.checked_percentiles(t.payments, found, "status", "amount_kopecks", m.PERCENTILES)
+    return checked.select("status", "values_total", "within")
+
+
 query(
     "a09_count_of_counts",
     business(

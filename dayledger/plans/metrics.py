@@ -27,6 +27,7 @@ from dayledger.functions.text import labelled
 from dayledger.operators.lookups import join_by_key
 from dayledger.operators.ranking import exact_percentiles
 from dayledger.operators.series import trailing_mean
+from dayledger.operators.sketches import merged_percentiles
 from dayledger.operators.versions import has_unresolved_versions
 from dayledger.plans.marts import Marts
 
@@ -432,6 +433,20 @@ def refund_hours(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
     return _hours_by(filters.in_period(marts.refund_processing_times, "refunded_at"), "refund_kind")
 
 
+def refund_durations_by_day(marts: Marts) -> DataFrame:
+    """What sketches of refund hours are made of: refund_day, refund_kind, duration_seconds."""
+    times = marts.refund_processing_times
+    return times.select(day_of("refunded_at").alias("refund_day"), "refund_kind", "duration_seconds")
+
+
+def refund_hours_sketched(sketches: DataFrame) -> DataFrame:
+    """refund_hours from stored sketches of the days wanted, within sketches.RANK_ERROR."""
+    spread = merged_percentiles(sketches, "refund_kind", PERCENTILES)
+    return spread.select(
+        "refund_kind", "values_total", *((F.col(p) / SECONDS_PER_HOUR).alias(p) for p in PERCENTILES)
+    )
+
+
 def stage_hours(marts: Marts) -> DataFrame:
     return _hours_by(marts.order_stage_durations, "stage").orderBy("stage")
 
@@ -459,7 +474,8 @@ def retention(marts: Marts, filters: Filters = EVERYTHING) -> DataFrame:
         .agg(F.avg("retention_rate").alias("retention"))
     )
     number = F.col("weeks_since_signup").cast("string")
-    width = F.greatest(F.lit(2), F.max(F.length(number)).over(W.partitionBy()))
+    longest = cells.agg(F.max(F.length(number))).scalar()
+    width = F.greatest(F.lit(2), longest)
     label = F.concat(F.lit(WEEK_OFFSET_PREFIX), F.lpad(number, width, F.lit("0")))
     return cells.select("cohort_week", label.alias("week"), "retention")
 

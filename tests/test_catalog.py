@@ -14,12 +14,15 @@ from dayledger.functions.buckets import stable_bucket
 SAMPLED = (
     "s06_read_layer",
     "a08_exact_percentiles",
+    "a08_sketched_percentiles",
     "m02_orders",
     "m05_orders_with_customer_dim",
     "m07_customer_first_order_few_orders",
     "m10_customer_cohort_retention",
     "m15_orders_with_sequence",
     "q13_refund_hours",
+    "q13_refund_hours_sketched",
+    "q28_retention",
     "q31_new_and_repeat_orders_by_day",
     "q36_filtered_gmv_by_city",
     "v12_funnel_never_grows",
