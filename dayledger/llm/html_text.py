@@ -5,7 +5,12 @@ block-level elements from the root. For each path of a page the text length and
 punctuation of its blocks are added up: content paths have long, punctuated blocks,
 boilerplate paths have short ones and links. The two ratios are smoothed along the page,
 fused, and the paths above a threshold are content; the element that encloses most of their
-text is the article, and all its blocks are kept, short ones and headings, too.
+text is the article, and all its blocks are kept, short ones and headings, too. An article or
+main element is preferred where it encloses most of it, a teaser in one decides nothing. A
+form is left out unless it encloses most of the page's text, as on pages that are one form.
+
+Paths and elements are numbers with links to their parents, so a page takes memory in
+proportion to its length, however deep it is nested.
 """
 
 from __future__ import annotations
@@ -24,12 +29,12 @@ from dayledger.llm.shared import ship
 #: Elements whose content is never part of an article's text.
 NEVER = frozenset(
     "script style noscript template iframe object svg math canvas audio video map select option button "
-    "input textarea form label nav header footer aside menu dialog head title".split()
+    "input textarea label nav header footer aside menu dialog head title".split()
 )
 #: Elements that start and end a block.
 BLOCKS = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
-    "caption blockquote pre figure figcaption address center hr details summary fieldset".split()
+    "caption blockquote pre figure figcaption address center hr details summary fieldset form".split()
 )
 #: Elements without an end tag, and those whose text is not markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,18 +74,45 @@ THRESHOLD = 0.25
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
-    elements: tuple[int, ...]
+    """Text, how much of it is linked, and the element and tag path it stands in (0: none)."""
+
+    element: int
+    path: int
     text: str
     linked: int
 
 
+@dataclass
+class Page:
+    """Blocks in page order; name and parent of each element, parents before children."""
+
+    blocks: list[Block] = field(default_factory=list)
+    names: list[str] = field(default_factory=lambda: [""])
+    parents: list[int] = field(default_factory=lambda: [0])
+
+    def enclosed(self, weights: list[int]) -> list[int]:
+        """For each element the weight of all blocks inside it."""
+        held = [0] * len(self.names)
+        for b, weight in zip(self.blocks, weights, strict=True):
+            held[b.element] += weight
+        for n in range(len(held) - 1, 0, -1):
+            held[self.parents[n]] += held[n]
+        return held
+
+    def inside(self, chosen: set[int]) -> list[bool]:
+        """For each element whether it is one of those chosen or inside one."""
+        out = [0 in chosen]
+        for n in range(1, len(self.names)):
+            out.append(n in chosen or out[self.parents[n]])
+        return out
+
+
 @dataclass
 class _Open:
     name: str
     number: int
+    path: int
     hidden: bool
-    parts: list[str] = field(default_factory=list)
 
 
 def _surrounds(attributes: str) -> bool:
@@ -94,21 +126,20 @@ def _surrounds(attributes: str) -> bool:
     return False
 
 
-def blocks_of(page: str) -> list[Block]:
+def parsed(page: str) -> Page:
     """The blocks outside of what is never content, in page order, with references decoded."""
-    found: list[Block] = []
+    found = Page()
+    paths: dict[tuple[int, str], int] = {}
     stack: list[_Open] = []
     text: list[str] = []
-    linked = links = numbered = at = 0
+    linked = links = at = 0
 
     def close_block() -> None:
         nonlocal linked
         joined = " ".join(html.unescape("".join(text)).split())
         if joined and not (stack and stack[-1].hidden):
-            inside = [e for e in stack if e.name in BLOCKS]
-            found.append(
-                Block(tuple(e.name for e in inside), tuple(e.number for e in inside), joined, linked)
-            )
+            element, path = (stack[-1].number, stack[-1].path) if stack else (0, 0)
+            found.blocks.append(Block(element, path, joined, linked))
         text.clear()
         linked = 0
 
@@ -166,11 +197,14 @@ def blocks_of(page: str) -> list[Block]:
                     break
                 if stack[i].name in _SCOPES:
                     break
-        numbered += 1
         hidden = bool(stack and stack[-1].hidden) or name in NEVER or _surrounds(tag[3])
         if name in ("html", "body", "main", "article"):
             hidden = bool(stack and stack[-1].hidden) or (name == "article" and _surrounds(tag[3]))
-        stack.append(_Open(name, numbered, hidden))
+        above, over = (stack[-1].number, stack[-1].path) if stack else (0, 0)
+        found.names.append(name)
+        found.parents.append(above)
+        path = paths.setdefault((over, name), len(paths) + 1)
+        stack.append(_Open(name, len(found.names) - 1, path, hidden))
     close_block()
     return found
 
@@ -187,11 +221,23 @@ def _smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def content_blocks(blocks: list[Block]) -> list[Block]:
+def _without_forms(page: Page) -> Page:
+    """The page without forms that hold half of its unlinked text or less."""
+    if "form" not in page.names:
+        return page
+    held = page.enclosed([max(0, len(b.text) - b.linked) for b in page.blocks])
+    small = {n for n, name in enumerate(page.names) if name == "form" and 2 * held[n] <= held[0]}
+    gone = page.inside(small)
+    return Page([b for b in page.blocks if not gone[b.element]], page.names, page.parents)
+
+
+def content_blocks(page: Page) -> list[Block]:
     """The blocks of the element that holds the content paths' text."""
+    page = _without_forms(page)
+    blocks = page.blocks
     if not blocks:
         return []
-    sums: dict[tuple[str, ...], list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for b in blocks:
         own = sums.setdefault(b.path, [0, 0, 0])
         own[0] += max(0, len(b.text) - b.linked)
@@ -200,34 +246,28 @@ def content_blocks(blocks: list[Block]) -> list[Block]:
     lengths = _smoothed([sums[b.path][0] / sums[b.path][2] for b in blocks])
     marks = _smoothed([sums[b.path][1] / sums[b.path][2] for b in blocks])
     fused = [length * (1 + mark) for length, mark in zip(lengths, marks, strict=True)]
-    best: dict[tuple[str, ...], float] = {}
+    best: dict[int, float] = {}
     for b, value in zip(blocks, fused, strict=True):
         best[b.path] = max(best.get(b.path, 0.0), value)
     chosen = {path for path, value in best.items() if value >= THRESHOLD * max(best.values())}
     # The text of chosen paths by enclosing element; the innermost with most of it is the article.
-    held: dict[int, int] = {}
-    named: dict[int, str] = {}
-    total = 0
-    for b in blocks:
-        if b.path in chosen:
-            total += len(b.text)
-            for name, number in zip(b.path, b.elements, strict=True):
-                held[number] = held.get(number, 0) + len(b.text)
-                named[number] = name
-    regions = [n for n, chars in held.items() if named[n] in ("article", "main")]
+    held = page.enclosed([len(b.text) if b.path in chosen else 0 for b in blocks])
+    most = [n for n in range(1, len(held)) if 2 * held[n] > held[0]]
+    regions = [n for n in most if page.names[n] in ("article", "main")]
     if regions:
         article = max(regions, key=lambda n: (held[n], n))
     else:
-        most = [n for n, chars in held.items() if 2 * chars > total and named[n] not in ("p", "li", "td", "th")]
+        most = [n for n in most if page.names[n] not in ("p", "li", "td", "th")]
         if not most:
             return [b for b in blocks if b.path in chosen]
         article = max(most)
-    return [b for b in blocks if article in b.elements]
+    kept = page.inside({article})
+    return [b for b in blocks if kept[b.element]]
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by an empty line; empty for a page without any."""
-    return "\n\n".join(b.text for b in content_blocks(blocks_of(page or "")))
+    return "\n\n".join(b.text for b in content_blocks(parsed(page or "")))
 
 
 def extracted(pages: DataFrame) -> DataFrame:

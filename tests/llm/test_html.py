@@ -1,9 +1,10 @@
 import html
 import re
+import tracemalloc
 
 import pytest
 
-from dayledger.llm.html_text import blocks_of, extracted, main_text
+from dayledger.llm.html_text import extracted, main_text, parsed
 
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{x:1}</style><script>if (a<b) track("</p>");</script></head>
 <body class="has-sidebar"><div class="cookie-notice">We use cookies, really.</div><header>Site</header><nav><ul><li><a href=/>Home</a></ul></nav>
@@ -38,7 +39,39 @@ def test_long_pages_are_read_whole():
     paragraphs = [f"Paragraph {n}, with some words." for n in range(5000)]
     page = "<body><main>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</main></body>"
     assert main_text(page) == "\n\n".join(paragraphs)
-    assert len(blocks_of("<div>" * 3000 + "deep, text" + "</div>" * 3000)) == 1
+    assert len(parsed("<div>" * 3000 + "deep, text" + "</div>" * 3000).blocks) == 1
+
+
+def test_deep_pages_take_memory_in_proportion():
+    peaks = []
+    for depth in (2000, 8000):
+        page = "".join(f"<div>Text {n}, here." for n in range(depth))
+        tracemalloc.start()
+        assert len(parsed(page).blocks) == depth and f"Text {depth - 1}, here." in main_text(page)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 6 * peaks[0]
+
+
+LONG = [f"Paragraph {n} of the story, with a number of words, and marks. It goes on, as stories do." for n in range(20)]
+TEASER = "<article><h3>Other story</h3><p>A teaser, with one sentence for it.</p></article>"
+
+
+@pytest.mark.parametrize("wrapped", ["{}", "<form action=x><input value=q>{}</form>", "<main>{}</main>"])
+def test_a_teaser_does_not_replace_the_story(wrapped):
+    story = "<div class=body>" + "".join(f"<p>{p}</p>" for p in LONG) + "</div>"
+    page = f"<body><div id=top>Site</div>{wrapped.format(story)}<div class=more>{TEASER}</div></body>"
+    assert main_text(page) == "\n\n".join(LONG)
+
+
+def test_several_articles_are_one_page_of_text():
+    page = "<body><div>" + "".join(f"<article><p>{p}</p></article>" for p in LONG) + "</div></body>"
+    assert main_text(page) == "\n\n".join(LONG)
+
+
+def test_a_form_inside_the_article_is_left_out():
+    page = f"<article><p>{LONG[0]}</p><form>Write to us, please. <input><p>Terms, and so on.</p></form><p>{LONG[1]}</p></article>"
+    assert main_text(page) == f"{LONG[0]}\n\n{LONG[1]}"
 
 
 def test_given_pages(spark, sf_dir):
