@@ -41,9 +41,10 @@ class _Kept:
         if len(self.now) > self.limit:
             self.now, self.before = {}, self.now
         missing = pieces.difference(self.now)
-        again = missing.intersection(self.before)
-        self.now.update((piece, self.before[piece]) for piece in again)
-        return list(missing - again)
+        before = self.before
+        again = [piece for piece in missing if piece in before]  # not all that was kept is gone through
+        self.now.update((piece, before[piece]) for piece in again)
+        return list(missing.difference(again))
 
 
 class SpaceSplitIds:
