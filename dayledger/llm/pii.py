@@ -1,14 +1,18 @@
 """Personal data replaced by keyed surrogates of the same type, format, script and gender.
 
 An entity is found by a pattern and reduced to its canonical form (digits, lower case), so
-that all its spellings are one entity. Each distinct entity gets one surrogate, derived
-from a key, its type, its canonical form and the number of the attempt; an attempt fails if
-the surrogate is another entity's or stands in the corpus itself. Every mention is then
-replaced by its entity's surrogate, written the way the mention was written.
+that all its spellings are one entity. Names are found behind a form of address; the rest of
+the document is then searched for the same names and their parts. Each distinct entity gets
+one surrogate, derived from a key, its type, its canonical form, its gender and the number of
+the attempt; an attempt fails if the surrogate is another entity's or stands in the corpus
+itself. Every mention is then replaced by its entity's surrogate, written the way the mention
+was written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,17 +22,35 @@ from dayledger.llm.shared import NO_ID, stored
 #: letter, it would cost the square of a word's length.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 SECRET = r"\b(?:[0-9a-f]{32,64}|[0-9A-F]{32,64}|AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})\b"
+#: What tells an issuer's keys stays in their surrogates; these keys are case-sensitive.
+SECRET_PREFIX = r"^(?:AKIA|ghp_|sk-)"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)"
 CARD = r"(?<![\w.+-])(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}|\d{13,19})(?![\w-]|\.\d)"
-IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
+#: Length of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ CY DO GT HU LB PL", 29: "BR PS QA UA", 30: "JO KW MU", 31: "MT",
+}
+
+
+def _account(length: int, countries: str) -> str:
+    """Country, check digits and the rest, alone or in groups of four."""
+    fours, rest = divmod(length - 4, 4)
+    tail = rf" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})\d\d(?: ?[A-Z0-9]{{4}}){{{fours}}}{tail}"
+
+
+IBAN = rf"\b(?=[A-Z]{{2}}\d\d)(?:{'|'.join(_account(n, c) for n, c in IBAN_LENGTHS.items())})\b"
 SSN = r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"
 PHONE = r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])"
 #: Forms of address, by which a name's gender shows.
 MALE = "Mr|Herr|Señor|Sr|Monsieur|Господин|Г-н"
 FEMALE = "Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Госпожа|Г-жа"
 ADDRESS = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? "
-NAME = rf"{ADDRESS}\p{{Lu}}[\p{{Ll}}'’-]+(?: \p{{Lu}}[\p{{Ll}}'’-]+)?"
+_NAME_WORD = r"\p{Lu}[\p{Ll}'’-]*\p{Ll}(?:[-'’]\p{Lu}\p{Ll}+)*"
+NAME = rf"{ADDRESS}{_NAME_WORD}(?: {_NAME_WORD}){{0,3}}"
 
 #: In the order in which they are tried at a place of the text.
 TYPES = (
@@ -37,6 +59,8 @@ TYPES = (
 )
 PATTERN = "|".join(f"(?:{pattern})" for _, pattern in TYPES)
 DIGITS = ("card", "ssn", "phone")
+#: The kind of what a pattern finds and a second look rejects: it stays as it is.
+NONE = "none"
 
 #: Rounds in which a surrogate has its entity's form; after them it grows.
 SAME_FORM = 3
@@ -76,12 +100,78 @@ def canonical(kind: Column, mention: Column) -> Column:
         F.when(kind.isin(*DIGITS), digits)
         .when(kind == "iban", F.regexp_replace(mention, " ", ""))
         .when(kind == "name", F.regexp_replace(mention, f"^{ADDRESS}", ""))
+        .when((kind == NONE) | ((kind == "secret") & mention.rlike(SECRET_PREFIX)), mention)
         .otherwise(F.lower(mention))
     )
 
 
 def gender_of(mention: Column) -> Column:
-    return F.when(mention.rlike(rf"^(?:{MALE})\.? "), "male").when(mention.rlike(rf"^(?:{FEMALE})\.? "), "female")
+    """By the form of address; empty without one."""
+    return (
+        F.when(mention.rlike(rf"^(?:{MALE})\.? "), "male")
+        .when(mention.rlike(rf"^(?:{FEMALE})\.? "), "female")
+        .otherwise("")
+    )
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _checked_kind(mention: Column) -> Column:
+    """The type; an ungrouped number is a card only if its check digit is right."""
+    return _let(
+        type_of(mention),
+        lambda kind: F.when(
+            (kind == "card") & mention.rlike("^[0-9]+$") & (F.pmod(_luhn_sum(mention), F.lit(10)) != 0), F.lit(NONE)
+        ).otherwise(kind),
+    )
+
+
+def _addressed_names(mentions: Column) -> Column:
+    """The distinct (value, gender) of a document's names, in order of their first mention."""
+    named = F.filter(mentions, lambda m: gender_of(m) != "")
+    one = F.transform(named, lambda m: F.struct(canonical(F.lit("name"), m).alias("value"), gender_of(m).alias("gender")))
+    return F.array_distinct(one)
+
+
+def _pattern_with(names: Column) -> Column:
+    """PATTERN, or else one of the names or of their words; longer ones first."""
+    words = F.flatten(F.transform(names, lambda n: F.concat(F.array(n["value"]), F.split(n["value"], " "))))
+    longest_first = F.reverse(F.array_sort(F.transform(F.array_distinct(words), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))))
+    either = F.array_join(F.transform(longest_first, lambda w: w["w"]), "|")
+    own = F.concat(F.lit(r"|(?<![\p{L}\p{M}-])(?:"), either, F.lit(r")(?![\p{L}\p{M}]|-\p{L})"))
+    return F.concat(F.lit(PATTERN), F.when(F.size(names) > 0, own).otherwise(F.lit("")))
+
+
+def _entity(mention: Column, names: Column) -> Column:
+    """(mention, kind, value, gender, part) of a mention in a document with these names.
+
+    A part of a fuller name of the document, of the same gender where a form of address tells
+    one, is that person's: part is the place of its word. Of several persons it is the first.
+    Names without a form of address belong to the first person so named.
+    """
+
+    def found(kind: Column, value: Column, gender: Column) -> Column:
+        alike = F.filter(names, lambda n: (gender == "") | (n["gender"] == gender))
+        whole = F.filter(alike, lambda n: n["value"] == value)
+        fuller = F.filter(
+            alike, lambda n: ~value.contains(" ") & n["value"].contains(" ") & F.array_contains(F.split(n["value"], " "), value)
+        )
+        person = F.when(kind == "name", F.coalesce(F.get(fuller, F.lit(0)), F.get(whole, F.lit(0))))
+        return _let(
+            person,
+            lambda p: F.struct(
+                mention.alias("mention"),
+                kind.alias("kind"),
+                F.coalesce(p["value"], value).alias("value"),
+                F.coalesce(p["gender"], F.lit("")).alias("gender"),
+                F.when(p["value"] != value, F.array_position(F.split(p["value"], " "), value).cast("int")).alias("part"),
+            ),
+        )
+
+    return _let(_checked_kind(mention), lambda k: _let(canonical(k, mention), lambda v: found(k, v, gender_of(mention))))
 
 
 def _number(digest: Column, place: Column | int, below: int) -> Column:
@@ -147,6 +237,34 @@ def _email(value: Column, more: Column) -> Column:
     return F.concat(local, more, F.lit("@"), F.array_join(domain, "."))
 
 
+def _remainder_97(text: Column) -> Column:
+    """Of the number that a text of digits and capitals stands for; A is 10, Z is 35."""
+
+    def step(rest: Column, c: Column) -> Column:
+        code = F.ascii(c)
+        return F.when(code < 58, F.pmod(rest * 10 + code - 48, F.lit(97))).otherwise(
+            F.pmod(rest * 100 + code - 55, F.lit(97))
+        )
+
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), step)
+
+
+def _iban(value: Column) -> Column:
+    """Another account of the same country, with right check digits."""
+    country, account = F.substring(value, 1, 2), F.expr("substring(drawn, 5)")
+    check = F.lit(98) - _remainder_97(F.concat(account, country, F.lit("00")))
+    return F.concat(country, F.lpad(check.cast("string"), 2, "0"), account)
+
+
+def _secret(value: Column, digest: Column) -> Column:
+    """An issuer's prefix stays; what follows, or the whole of a hexadecimal one, is drawn."""
+    prefix = F.regexp_extract(value, SECRET_PREFIX, 0)
+    rest = F.regexp_replace(value, SECRET_PREFIX, "")
+    return F.when(prefix != "", F.concat(prefix, _alike(rest, digest))).otherwise(
+        _alike(value, digest, hexadecimal=True)
+    )
+
+
 def _ip(digest: Column) -> Column:
     return F.concat_ws(".", *(_number(digest, i, 254) + 1 for i in range(4)))
 
@@ -173,7 +291,17 @@ def _name(value: Column, gender: Column, digest: Column) -> Column:
     for (of_script, of_gender) in GIVEN:
         first = F.when((script == of_script) & (gender == of_gender), given((of_script, of_gender))).otherwise(first)
     last = F.when(script == "cyrillic", family("cyrillic")).otherwise(family("latin"))
-    return F.when(value.contains(" "), F.concat_ws(" ", first, last)).otherwise(last)
+
+    def middle(key: tuple[str, str]) -> Column:
+        places = F.filter(F.sequence(F.lit(1), F.size(F.split(value, " "))), lambda i: i < F.size(F.split(value, " ")) - 1)
+        known = F.array(*map(F.lit, GIVEN[key]))
+        return F.transform(places, lambda i: F.get(known, _number(digest, i + 6, len(GIVEN[key]))))
+
+    between = F.array().cast("array<string>")
+    for (of_script, of_gender) in GIVEN:
+        between = F.when((script == of_script) & (gender == of_gender), middle((of_script, of_gender))).otherwise(between)
+    whole = F.concat(F.array(first), between, F.array(last))
+    return F.when(value.contains(" "), F.array_join(whole, " ")).otherwise(last)
 
 
 def _syllables(value: Column, digest: Column, count: Column) -> Column:
@@ -191,12 +319,10 @@ def _syllables(value: Column, digest: Column, count: Column) -> Column:
 def _surrogate(entities: DataFrame, key: str) -> DataFrame:
     """entities (kind, value, gender, attempt) with a candidate surrogate."""
     kind, value = F.col("kind"), F.col("value")
-    seed = F.concat_ws("|", F.lit(key), "kind", "value", F.col("attempt").cast("string"))
+    seed = F.concat_ws("|", F.lit(key), "kind", "value", "gender", F.col("attempt").cast("string"))
     drawn = entities.withColumn("digest", F.sha2(seed, 512)).withColumn(
         "drawn",
-        F.when(kind == "secret", _alike(value, F.col("digest"), hexadecimal=True)).otherwise(
-            _alike(value, F.col("digest"))
-        ),
+        F.when(kind == "secret", _secret(value, F.col("digest"))).otherwise(_alike(value, F.col("digest"))),
     )
     extra = F.sha2(F.concat_ws("|", seed, F.lit("more")), 512)
     grown = F.greatest(F.col("attempt") - SAME_FORM, F.lit(0))
@@ -206,6 +332,7 @@ def _surrogate(entities: DataFrame, key: str) -> DataFrame:
         F.when(kind == "email", _email(value, letters))
         .when(kind == "ip", _ip(F.col("digest")))
         .when(kind == "card", _card(value, F.col("digest")))
+        .when(kind == "iban", _iban(value))
         .when(kind == "phone", _phone(value, figures))
         .when(kind == "name", F.concat(_name(value, F.col("gender"), F.col("digest")), _syllables(value, extra, grown)))
         .otherwise(F.col("drawn"))
@@ -214,10 +341,10 @@ def _surrogate(entities: DataFrame, key: str) -> DataFrame:
 
 
 def surrogates(found: DataFrame, key: str) -> DataFrame:
-    """(kind, value, surrogate) for the distinct entities of found (kind, value, gender).
+    """(kind, value, gender, surrogate) for the distinct entities of found (kind, value, gender).
 
     No two entities of a kind get the same surrogate, and no surrogate is an entity of the
-    corpus. Of entities that draw the same one the first by value keeps it; the others and
+    corpus. Of entities that draw the same one the first by value and gender keeps it; the others and
     those that drew an entity draw again. Each round is written to the shared folder, and
     only entities that failed go on, a vanishing share from round to round. Forms of few
     surrogates (a one-letter local part has 26) may have none left: from the round after
@@ -225,15 +352,16 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     round. The shortest of the other forms, numbers of 9 digits and IP addresses, have a
     thousand million.
     """
-    entities = stored(found.groupBy("kind", "value").agg(F.min("gender").alias("gender")), "entities")
-    taken = entities.select("kind", F.col("value").alias("surrogate"))
+    entities = stored(found.groupBy("kind", "value", "gender").agg(F.count("*").alias("n")).drop("n"), "entities")
+    taken = entities.select("kind", F.col("value").alias("surrogate")).distinct()
     pending, settled, attempt = entities.withColumn("attempt", F.lit(0)), None, 0
     while True:
-        drawn = _surrogate(pending, key).join(taken.withColumn("used", F.lit(True)), ["kind", "surrogate"], "left")
-        same = Window.partitionBy("kind", "surrogate").orderBy("value")
+        used = taken.withColumn("used", F.lit(True)).hint("merge")  # grows with the corpus
+        drawn = _surrogate(pending, key).join(used, ["kind", "surrogate"], "left")
+        same = Window.partitionBy("kind", "surrogate").orderBy("value", "gender")
         good = F.col("used").isNull() & (F.row_number().over(same) == 1)
         tried = stored(drawn.withColumn("good", good).drop("used", "attempt"), "surrogates")
-        fresh = tried.where("good").select("kind", "value", "surrogate")
+        fresh = tried.where("good").select("kind", "value", "gender", "surrogate")
         settled = fresh if settled is None else settled.unionByName(fresh)
         failed = tried.where("not good")
         if failed.isEmpty():
@@ -271,31 +399,37 @@ def _written_like(mention: Column, kind: Column, surrogate: Column) -> Column:
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     """`row` (all columns of docs), clean_text and n_mentions of every row.
 
-    The same key gives the same surrogates for the same corpus. Texts without a mention
-    don't move; those with one meet their surrogates once. A null text stays null. Rows
-    without doc_id and repeated rows are treated like any other. A name in a language
-    beyond the forms of address is not found.
+    The same key gives the same surrogates for the same corpus. Texts are searched once and
+    kept with what was found; those with a name are searched again for that name and its
+    words, which takes time in proportion to the text and to the number of its names. Texts
+    without a mention don't move; those with one meet their surrogates once. A null text
+    stays null. Rows without doc_id and repeated rows are treated like any other. A person
+    whom no form of address precedes in the document is not found.
     """
     identity = [F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("version")]
-    listed = docs.select(*identity, F.posexplode(mentions(F.col("text"))).alias("place", "mention"))
-    typed = listed.withColumn("kind", type_of(F.col("mention")))
-    entity = canonical(F.col("kind"), F.col("mention")).alias("value")
-    found = stored(typed.select("id", "version", "place", "mention", "kind", entity), "mentions")
-    mapping = surrogates(found.select("kind", "value", gender_of(F.col("mention")).alias("gender")), key)
-    written = _written_like(F.col("mention"), F.col("kind"), F.col("surrogate")).alias("new")
+    read = stored(docs.select(*identity, F.struct("*").alias("row"), mentions(F.col("text")).alias("first")), "texts")
+    some = F.coalesce(F.size("first"), F.lit(0)) > 0
+    named = read.where(some).withColumn("names", _addressed_names(F.col("first")))
+    text, pattern = F.col("row.text"), _pattern_with(F.col("names"))
+    again = F.regexp_extract_all(text, F.concat(F.lit("("), pattern, F.lit(")")), F.lit(1))
+    every = F.when(F.size("names") > 0, again).otherwise(F.col("first"))
+    listed = _let(F.col("names"), lambda names: F.transform(every, lambda m: _entity(m, names)))
+    found = stored(
+        named.select("id", "version", "row", F.split(text, pattern, -1).alias("between"), listed.alias("listed")), "mentions"
+    )
+    places = found.select("id", "version", F.posexplode("listed").alias("place", "m")).select("id", "version", "place", "m.*")
+    mapping = surrogates(places.where(F.col("kind") != NONE).select("kind", "value", "gender"), key)
+    word = F.coalesce(F.get(F.split("surrogate", " "), F.col("part") - 1), F.col("surrogate"))
+    written = F.coalesce(_written_like(F.col("mention"), F.col("kind"), word), F.col("mention")).alias("new")
     replaced = (
-        found.join(mapping, ["kind", "value"])
+        places.join(mapping, ["kind", "value", "gender"], "left")
         .select("id", "version", F.struct("place", written).alias("mention"))
         .groupBy("id", "version")
         .agg(F.sort_array(F.collect_set("mention")).alias("new"))
     )
-    rows = docs.select(*identity, F.struct("*").alias("row"), F.size(mentions(F.col("text"))).alias("n"))
-    between = F.split(F.col("row.text"), PATTERN, -1)
     new = F.concat(F.transform("new", lambda m: m["new"]), F.array(F.lit("")))
-    changed = (
-        rows.where("n > 0")
-        .join(replaced, ["id", "version"])
-        .select("row", F.array_join(F.zip_with(between, new, lambda a, b: F.concat(a, b)), "").alias("clean_text"), "n")
-    )
-    same = rows.where("n = 0").select("row", F.col("row.text").alias("clean_text"), "n")
-    return same.unionByName(changed).select("row", "clean_text", F.col("n").cast("long").alias("n_mentions"))
+    clean = F.array_join(F.zip_with("between", new, lambda a, b: F.concat(a, b)), "")
+    n = F.size(F.filter("listed", lambda m: m["kind"] != NONE)).cast("long")
+    changed = found.join(replaced, ["id", "version"]).select("row", clean.alias("clean_text"), n.alias("n_mentions"))
+    same = read.where(~some).select("row", F.col("row.text").alias("clean_text"), F.lit(0).cast("long").alias("n_mentions"))
+    return same.unionByName(changed)
