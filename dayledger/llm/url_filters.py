@@ -30,11 +30,13 @@ RULES = (
     Rule("org/fr/", "allow"),
 )
 
-#: A parent with more different children than this has variable children.
-FANOUT = 20
+#: A parent's children are variable if it has more than so many different ones a page (of
+#: PRIOR_PAGES pages more), and of them those that hold less than OWN_SHARE of its pages.
+VARIABLE, OWN_SHARE = 0.5, 0.2
 #: Labelled pages that the prior weighs as much as, and the share of bad ones it assumes.
 PRIOR_PAGES, PRIOR_BAD = 5.0, 0.5
-#: Siblings whose bad shares differ by so many standard errors or less are one branch.
+#: Siblings whose bad shares (if not labelled: whose pages and different paths) differ by so
+#: many standard errors or less are one branch.
 SAME_WITHIN = 1.64
 #: A template is rejected if the lower end of its smoothed bad share is so high.
 REJECT = 0.8
@@ -63,98 +65,156 @@ def _longest_rule(rules: tuple[Rule, ...], host: Column, path: Column) -> tuple[
     return text, verdict
 
 
-def _template(path: Column) -> Column:
-    """The path with every segment that looks like a number or an id as a wildcard."""
-    segment = r"(?<=/)(?=[^/]*\d)(?:[^/]*\d[^/]*\d[^/]*|\d[^/]*)(?=/|$)"
-    return F.regexp_replace(path, segment, "*")
+def _fixed_segments(rules: tuple[Rule, ...], rule: Column) -> Column:
+    """How many segments of the path the rule itself names."""
+    named = F.lit(0)
+    for r in rules:
+        named = F.when(rule == r.text, len([s for s in r.text.split("/")[1:] if s])).otherwise(named)
+    return named
+
+
+def _segments(path: Column, fixed: Column) -> Column:
+    """The path's segments; behind those a rule names, any that look like a number or an id are wildcards."""
+    looks_variable = r"^(?:\d.*|.*\d.*\d.*)$"
+    return F.transform(
+        F.split(path, "/"), lambda s, i: F.when((i > fixed) & s.rlike(looks_variable), F.lit("*")).otherwise(s)
+    )
 
 
 def _tree_level(templates: DataFrame, depth: int) -> DataFrame:
-    """Templates (host, segments, …) with wildcards at this depth where a parent fans out."""
-    parent = F.slice("segments", 1, depth)
-    children = templates.select("host", parent.alias("parent"), F.get("segments", F.lit(depth)).alias("child"))
-    wide = (
-        children.where("child is not null")
-        .groupBy("host", "parent")
-        .agg(F.count_distinct("child").alias("children"))
-        .where(F.col("children") > FANOUT)
-        .select("host", "parent", F.lit(True).alias("wide"))
+    """Templates (host, segments, fixed, pages, …) with wildcards for variable children at this depth."""
+    parent, child = F.slice("segments", 1, depth), F.get("segments", F.lit(depth))
+    children = (
+        templates.where(child.isNotNull())
+        .groupBy("host", parent.alias("parent"), child.alias("child"))
+        .agg(F.sum("pages").alias("child_pages"))
+    )
+    parents = children.groupBy("host", "parent").agg(
+        F.sum("child_pages").alias("all_pages"), F.count("*").alias("children")
+    )
+    heavier = F.col("all_pages") + PRIOR_PAGES
+    wide = parents.where(F.col("children") / heavier > VARIABLE)
+    variable = (
+        children.join(wide, ["host", "parent"])
+        .where(F.col("child_pages") / heavier < OWN_SHARE)
+        .select("host", "parent", "child", F.lit(True).alias("variable"))
     )
     rest = F.slice("segments", depth + 2, F.greatest(F.size("segments") - depth - 1, F.lit(0)))
     wildcard = F.when(
-        F.col("wide") & (F.size("segments") > depth), F.concat("parent", F.array(F.lit("*")), rest)
+        F.col("variable") & (F.col("fixed") < depth), F.concat("parent", F.array(F.lit("*")), rest)
     ).otherwise(F.col("segments"))
     return (
         templates.withColumn("parent", parent)
-        .join(wide, ["host", "parent"], "left")
+        .withColumn("child", child)
+        .join(variable, ["host", "parent", "child"], "left")
         .withColumn("segments", wildcard)
-        .drop("parent", "wide")
+        .drop("parent", "child", "variable")
     )
 
 
 def template_verdicts(labelled: DataFrame) -> DataFrame:
-    """(host, template, rejected) for each template of the pages (host, path, bad).
-
-    bad is 1 or 0 where a page is labelled and null where it isn't. Pages are first added up
-    by host and template of number-like segments; all that follows runs over those sums,
-    one row per template, however many pages a host has. Level by level a parent with more
-    than FANOUT different children gets a wildcard for them. Then siblings that differ in
-    their last named segment alone are merged where their bad shares are within
-    SAME_WITHIN standard errors, and a merged branch is rejected if its labelled purity,
-    smoothed by PRIOR_PAGES pages of PRIOR_BAD, is REJECT or more. Branches without a label
-    have the prior's share and stay.
+    """(host, template, fixed, rejected) for each template of the pages (host, path, fixed, bad).
+
+    bad is 1 or 0 where a page is labelled and null where it isn't; fixed counts the segments
+    that a rule names, which never become wildcards. Pages are first added up by host and
+    template of number-like segments; all that follows runs over those sums, however many
+    pages a host has. Level by level variable children (VARIABLE, OWN_SHARE) become one
+    wildcard. Siblings are branches that differ in their last named segment alone. Labelled
+    ones are merged where their bad shares are alike. One without labels joins the merged
+    branch whose mean number of pages is nearest, if its pages and its different paths a
+    page are like that branch's; else it takes the labels of the same branch on other hosts
+    of its domain. A branch is rejected if its labelled purity, smoothed by PRIOR_PAGES pages
+    of PRIOR_BAD, is REJECT or more; without any label it has the prior's share and stays.
     """
     sums = (
-        labelled.groupBy("host", _template(F.col("path")).alias("template"))
-        .agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.count("bad").alias("labels"))
-        .withColumn("segments", F.split("template", "/"))
+        labelled.groupBy("host", "path", "fixed")
+        .agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.count("bad").alias("labels"), F.count("*").alias("pages"))
+        .groupBy("host", "fixed", _segments(F.col("path"), F.col("fixed")).alias("segments"))
+        .agg(*(F.sum(c).alias(c) for c in ("bad", "labels", "pages")), F.count("*").alias("paths"))
+        .withColumn("template", F.array_join("segments", "/"))
     )
     sums = stored(sums, "url-templates")  # the pages are read once, whatever the tree's depth
     depths = sums.select(F.max(F.size("segments"))).first()[0] or 0
     for depth in range(1, depths):
         sums = _tree_level(sums, depth)
-    sums = stored(sums, "url-tree")
-    branch = Window.partitionBy("host", "branch")
-    merged = sums.withColumn("branch", F.array_join("segments", "/")).select(
-        "host", "template", "segments", "branch",
-        F.sum("bad").over(branch).alias("bad"), F.sum("labels").over(branch).alias("labels"),
-    )
-    return _merged_siblings(merged).select(
-        "host",
-        "template",
-        (
-            (F.col("bad") + PRIOR_PAGES * PRIOR_BAD) / (F.col("labels") + PRIOR_PAGES) >= REJECT
-        ).alias("rejected"),
+    tree = stored(sums.withColumn("branch", F.array_join("segments", "/")), "url-tree")
+    branches = tree.groupBy("host", "segments", "branch").agg(
+        *(F.sum(c).alias(c) for c in ("bad", "labels", "pages", "paths"))
     )
+    bad, labels = F.col("bad"), F.col("labels")
+    rejected = (bad + PRIOR_PAGES * PRIOR_BAD) / (labels + PRIOR_PAGES) >= REJECT
+    merged = _with_labels_of_the_domain(_merged_siblings(branches), branches)
+    verdicts = merged.select("host", "branch", rejected.alias("rejected"))
+    return tree.join(verdicts, ["host", "branch"]).select("host", "template", "fixed", "rejected")
 
 
 def _merged_siblings(branches: DataFrame) -> DataFrame:
-    """Branches with the label sums of all siblings that are statistically like them."""
-    named = F.size("segments") - F.coalesce(
-        F.nullif(F.array_position(F.transform(F.reverse("segments"), lambda s: (s != "*") & (s != "")), F.lit(True)), F.lit(0)),
-        F.size("segments").cast("long"),
+    """(host, branch, bad, labels) of branches with the labels of all siblings like them."""
+    place = F.array_position(F.transform(F.reverse("segments"), lambda s: (s != "*") & (s != "")), F.lit(True))
+    named = F.when(place > 0, F.size("segments") - place).otherwise(F.lit(-1))
+    around = F.array_join(F.transform("segments", lambda s, i: F.when(i == F.col("named"), F.lit("?")).otherwise(s)), "/")
+    placed = branches.withColumn("named", named).withColumn("parent", around).drop("segments", "named")
+
+    bad, labels = F.col("bad"), F.col("labels")
+    smooth = (bad + 1) / (labels + 2)
+    by_share = Window.partitionBy("host", "parent").orderBy("share", "branch")
+    apart = F.col("share") - F.lag("share").over(by_share) > SAME_WITHIN * F.sqrt(smooth * (1 - smooth) / labels)
+    clusters = (
+        placed.where("labels > 0")
+        .withColumn("share", bad / labels)
+        .withColumn("apart", F.coalesce(apart.cast("int"), F.lit(0)))
+        .withColumn("cluster", F.sum("apart").over(by_share.rowsBetween(Window.unboundedPreceding, 0)))
     )
-    around = F.concat_ws("/", F.transform("segments", lambda s, i: F.when(i == F.col("named"), F.lit("?")).otherwise(s)))
-    placed = branches.withColumn("named", named).withColumn("parent", around)
-    one = placed.select("host", "parent", "branch", "bad", "labels").distinct()
-    share = F.col("bad") / F.col("labels")
-    siblings = Window.partitionBy("host", "parent").orderBy("share", "branch")
-    before = F.lag("share").over(siblings)
-    error = F.sqrt(
-        (F.col("bad") + 1) / (F.col("labels") + 2) * (1 - (F.col("bad") + 1) / (F.col("labels") + 2)) / F.col("labels")
+    one = Window.partitionBy("host", "parent", "cluster")
+    pooled = clusters.select(
+        "host", "parent", "branch", F.lit(True).alias("labelled"),
+        *(F.sum(c).over(one).alias(c) for c in ("bad", "labels")),
+        F.avg("pages").over(one).alias("pages"), (F.sum("paths").over(one) / F.sum("pages").over(one)).alias("own"),
+    )
+    silent = placed.where("labels = 0").select(
+        "host", "parent", "branch", F.lit(False).alias("labelled"), "bad", "labels",
+        F.col("pages").cast("double").alias("pages"), (F.col("paths") / F.col("pages")).alias("own"),
+    )
+    by_pages = Window.partitionBy("host", "parent").orderBy("pages", bad / F.greatest(labels, F.lit(1)), "branch")
+    cluster = F.when(F.col("labelled"), F.struct("pages", "own", "bad", "labels"))
+    found = pooled.unionByName(silent).select(
+        "*",
+        F.last(cluster, True).over(by_pages.rowsBetween(Window.unboundedPreceding, 0)).alias("below"),
+        F.first(cluster, True).over(by_pages.rowsBetween(0, Window.unboundedFollowing)).alias("above"),
     )
-    grouped = (
-        one.where("labels > 0")
-        .withColumn("share", share)
-        .withColumn("apart", F.coalesce((F.col("share") - before > SAME_WITHIN * error).cast("int"), F.lit(0)))
-        .withColumn("cluster", F.sum("apart").over(siblings.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def way(other: str) -> Column:
+        """In standard errors of the difference of two square roots of counts."""
+        return F.abs(F.sqrt(f"{other}.pages") - F.sqrt("pages")) * 2**0.5
+
+    nearer = F.when(F.coalesce(way("below") <= way("above"), F.col("below").isNotNull()), F.col("below")).otherwise(F.col("above"))
+    own = (F.col("near.own") * F.col("near.pages") + F.col("own") * F.col("pages")) / (F.col("near.pages") + F.col("pages"))
+    error = F.sqrt(own * (1 - own) * (1 / F.col("near.pages") + 1 / F.col("pages")))
+    alike = (way("near") <= SAME_WITHIN) & (F.abs(F.col("near.own") - F.col("own")) <= SAME_WITHIN * error + 1e-9)
+    joins = ~F.col("labelled") & F.coalesce(alike, F.lit(False))
+    return found.withColumn("near", nearer).select(
+        "host", "branch", *(F.when(joins, F.col(f"near.{c}")).otherwise(F.col(c)).alias(c) for c in ("bad", "labels"))
     )
-    cluster = Window.partitionBy("host", "parent", "cluster")
-    pooled = grouped.select(
-        "host", "branch", F.sum("bad").over(cluster).alias("all_bad"), F.sum("labels").over(cluster).alias("all_labels")
+
+
+def _with_labels_of_the_domain(merged: DataFrame, branches: DataFrame) -> DataFrame:
+    """Those of merged that still have no labels take those of the same branch on hosts of their domain."""
+    domain = F.substring_index("host", ".", -2)
+    elsewhere = (
+        branches.where("labels > 0")
+        .groupBy(domain.alias("domain"), "branch")
+        .agg(F.sum("bad").alias("all_bad"), F.sum("labels").alias("all_labels"))
     )
-    return branches.join(pooled, ["host", "branch"], "left").select(
-        "host", "template", F.coalesce("all_bad", "bad").alias("bad"), F.coalesce("all_labels", "labels").alias("labels")
+    none = F.col("labels") == 0
+    return (
+        merged.withColumn("domain", domain)
+        .join(elsewhere, ["domain", "branch"], "left")
+        .select(
+            "host",
+            "branch",
+            F.when(none, F.coalesce("all_bad", "bad")).otherwise(F.col("bad")).alias("bad"),
+            F.when(none, F.coalesce("all_labels", "labels")).otherwise(F.col("labels")).alias("labels"),
+        )
     )
 
 
@@ -169,14 +229,17 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFrame
     """
     placed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, verdict = _longest_rule(rules, F.col("host"), F.col("path"))
-    ruled = placed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("by_rule"))
+    ruled = placed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("by_rule")).withColumn(
+        "fixed", _fixed_segments(rules, F.col("rule"))
+    )
     bad = F.when(F.col("by_rule") == "block", 1).when(F.col("by_rule") == "allow", 0)
-    labelled = ruled.select("page_id", "host", "path", bad.alias("bad"))
+    labelled = ruled.select("page_id", "host", "path", "fixed", bad.alias("bad"))
     if labels is not None:
         own = labels.groupBy(F.col("page_id")).agg(F.max("bad").cast("int").alias("own"))
         labelled = labelled.join(own, "page_id", "left").withColumn("bad", F.coalesce("own", "bad"))
-    verdicts = template_verdicts(labelled.select("host", "path", "bad"))
-    found = ruled.withColumn("template", _template(F.col("path"))).join(verdicts, ["host", "template"], "left")
+    verdicts = template_verdicts(labelled.select("host", "path", "fixed", "bad"))
+    template = F.array_join(_segments(F.col("path"), F.col("fixed")), "/")
+    found = ruled.withColumn("template", template).join(verdicts, ["host", "template", "fixed"], "left")
     return found.select(
         "page_id",
         "host",

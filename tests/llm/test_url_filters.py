@@ -1,4 +1,7 @@
+import random
 import re
+from collections import Counter, defaultdict
+from statistics import mean
 
 from dayledger.llm import url_filters
 from dayledger.llm.queries import QUERIES
@@ -71,3 +74,117 @@ def test_wide_parents_become_wildcards(spark):
 
 def test_stays_in_the_jvm(spark, sf_dir):
     assert "Python" not in QUERIES["op2_url_filters"](spark, sf_dir)._jdf.queryExecution().toString()
+
+
+def by_brute_force(pages):
+    """Verdicts by (host, template) of pages (host, path, fixed, bad), one branch at a time."""
+    prior, wide, own_share, z = url_filters.PRIOR_PAGES, url_filters.VARIABLE, url_filters.OWN_SHARE, url_filters.SAME_WITHIN
+    sums = defaultdict(lambda: [0, 0, 0, set()])
+    for host, path, fixed, bad in pages:
+        segments = tuple("*" if i > fixed and re.match(r"\d|.*\d.*\d", s) else s for i, s in enumerate(path.split("/")))
+        one = sums[host, fixed, segments]
+        one[0] += bad or 0
+        one[1] += bad is not None
+        one[2] += 1
+        one[3].add(path)
+    tree = {key: key[2] for key in sums}
+    for depth in range(1, max(map(len, tree.values()))):
+        children = Counter()
+        for key, segments in tree.items():
+            if len(segments) > depth:
+                children[key[0], segments[:depth], segments[depth]] += sums[key][2]
+        total, kinds = Counter(), Counter()
+        for (host, parent, _), n in children.items():
+            total[host, parent] += n
+            kinds[host, parent] += 1
+        for key, segments in tree.items():
+            if len(segments) > depth > key[1]:
+                at = key[0], segments[:depth]
+                heavier = total[at] + prior
+                if kinds[at] / heavier > wide and children[(*at, segments[depth])] / heavier < own_share:
+                    tree[key] = (*segments[:depth], "*", *segments[depth + 1 :])
+    branches = defaultdict(lambda: [0, 0, 0, 0])
+    for key, segments in tree.items():
+        for i, v in enumerate((sums[key][0], sums[key][1], sums[key][2], len(sums[key][3]))):
+            branches[key[0], segments][i] += v
+    around = defaultdict(list)
+    for host, segments in branches:
+        named = max((i for i, s in enumerate(segments) if s not in ("*", "")), default=-1)
+        around[host, tuple("?" if i == named else s for i, s in enumerate(segments))].append((host, segments))
+    labels = {}
+    for group in around.values():
+        clusters, last = [], None
+        for key in sorted((k for k in group if branches[k][1]), key=lambda k: (branches[k][0] / branches[k][1], "/".join(k[1]))):
+            bad, n, _, _ = branches[key]
+            smooth = (bad + 1) / (n + 2)
+            if last is None or bad / n - last > z * (smooth * (1 - smooth) / n) ** 0.5:
+                clusters.append([])
+            clusters[-1].append(key)
+            last = bad / n
+        known = []
+        for cluster in clusters:
+            bad, n, pages_, paths = (sum(branches[k][i] for k in cluster) for i in range(4))
+            known.append((mean(branches[k][2] for k in cluster), bad / n, paths / pages_, bad, n))
+            labels |= {k: (bad, n) for k in cluster}
+        for key in group:
+            bad, n, pages_, paths = branches[key]
+            if n or not known:
+                continue
+            m, _, share, *found = min(known, key=lambda c: (abs(c[0] ** 0.5 - pages_**0.5), c[0] > pages_, c[1] if c[0] > pages_ else -c[1]))
+            own = (share * m + paths) / (m + pages_)
+            error = (own * (1 - own) * (1 / m + 1 / pages_)) ** 0.5
+            if abs(m**0.5 - pages_**0.5) * 2**0.5 <= z and abs(share - paths / pages_) <= z * error + 1e-9:
+                labels[key] = tuple(found)
+    domains = defaultdict(lambda: [0, 0])
+    for (host, segments), (bad, n, _, _) in branches.items():
+        domains[tuple(host.split(".")[-2:]), segments][0] += bad
+        domains[tuple(host.split(".")[-2:]), segments][1] += n
+    out = {}
+    for key, segments in tree.items():
+        bad, n = labels.get((key[0], segments)) or domains[tuple(key[0].split(".")[-2:]), segments]
+        out[key[0], "/".join(key[2]), key[1]] = (bad + prior * url_filters.PRIOR_BAD) / (n + prior) >= url_filters.REJECT
+    return out
+
+
+def assert_like_brute_force(spark, pages):
+    rows = spark.createDataFrame(pages, "host string, path string, fixed int, bad int")
+    got = {(r.host, r.template, r.fixed): r.rejected for r in url_filters.template_verdicts(rows).collect()}
+    assert got == by_brute_force(pages)
+    return got
+
+
+def test_verdicts_against_brute_force(spark):
+    draw = random.Random(5)
+    pages = []
+    for host in ("a.one.com", "b.one.com", "c.two.org"):
+        for name in ("de", "en", "fr", "x/y", "tags"):
+            share = draw.choice([0, 0.5, 1, 1, None, None])
+            for _ in range(draw.choice([3, 12, 13, 40])):
+                tail = draw.choice(["17", "a1b2.html", "list", "a/7"]) if name != "tags" else f"t{draw.choice('abcdefgh') * draw.randint(1, 9)}"
+                bad = None if share is None or draw.random() < 0.2 else int(draw.random() < share)
+                pages.append((host, f"/{name}/{tail}", 1 if name == "de" else 0, bad))
+    got = assert_like_brute_force(spark, pages)
+    assert set(got.values()) == {True, False}
+
+
+def test_the_method_blocks_and_keeps_pages_without_a_rule(spark):
+    """Beside a rejected branch: one like it goes, a larger and a much re-read one stay."""
+    rows = [(f"http://a.example.com/de/{k}", "block") for k in range(20)]
+    rows += [(f"http://a.example.com/fr/{k}", "block") for k in range(19)]
+    rows += [(f"http://a.example.com/en/{k}", "allow") for k in range(90)]
+    rows += [(f"http://a.example.com/es/{k % 4}", "allow") for k in range(20)]
+    rows += [("http://b.example.com/it/1", "allow")]
+    pages = spark.createDataFrame([(n, u) for n, (u, _) in enumerate(rows)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filters.judged(pages).collect()}
+    assert [got[n][1] for n in range(len(rows))] == [v for _, v in rows]
+    assert {got[n][0] for n in range(20)} == {"example.com/de/"} and {got[n][0] for n in range(20, len(rows))} == {None}
+
+
+def test_given_pages_against_brute_force(spark, sf_dir):
+    got = QUERIES["op2_url_filters"](spark, sf_dir).collect()
+    fixed = {None: 0, **{r.text: len([s for s in r.text.split("/")[1:] if s]) for r in RULES}}
+    bad = {None: None, **{r.text: int(r.verdict == "block") for r in RULES}}
+    wanted = by_brute_force([(r.host, r.path, fixed[r.rule], bad[r.rule]) for r in got])
+    for r in got:
+        if r.rule is None:
+            assert r.verdict == ("block" if wanted[r.host, r.template, 0] else "allow")
