@@ -3,7 +3,8 @@
 A Bloom filter of a fixed number of bits, built with partial aggregation from the load's
 keys and applied where the history is scanned, before anything of it is shuffled. It lets
 every wanted row pass and few others; the join behind it decides. With 32 bits a key about
-one row in 6000 passes without being wanted; a fuller filter only lets more pass.
+one row in 6000 passes without being wanted; a fuller filter only lets more pass, and one of
+very many keys is not built at all, because it would let nearly everything pass.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 BITS = 1 << 24
 #: Positions that a key sets.
 HASHES = 4
-#: Spark's bitmaps have this many bits, and are kept as words of 64.
-BUCKET, WORD = 32_768, 64
+#: A filter with fewer bits for each different key is left out; at 4 bits a key 16 % pass.
+LEAST_BITS = 4
+#: The filter is kept as words of this many bits, and has so many bits at least.
+WORD, BUCKET = 64, 32_768
 
 
 def _positions(key: Column, bits: int) -> list[Column]:
@@ -30,36 +33,32 @@ def _positions(key: Column, bits: int) -> list[Column]:
 
 
 def key_filter(df: DataFrame, key: str, bits: int = BITS) -> Column:
-    """The filter of df's keys as a scalar subquery: an array of buckets, each one of words.
+    """The filter of df's keys as a scalar subquery: an array of words, NULL if it lets all pass.
 
-    bits is a power of two, BUCKET at least. Tasks send at most one bitmap for each bucket,
-    so a key that fills a third of the rows costs nothing extra; NULL keys are left out.
+    bits is a power of two, BUCKET at least. Words are numbers that tasks fill in their hash
+    tables, so nothing is sorted, and a task sends each word once at most: a key that fills a
+    third of the rows costs nothing extra. NULL keys are left out.
     """
     place = F.explode(F.array(*_positions(F.col(key), bits))).alias("place")
-    places = df.where(F.col(key).isNotNull()).select(place)
-    bitmaps = places.groupBy((F.col("place") / BUCKET).cast("int").alias("bucket")).agg(
-        F.bitmap_construct_agg((F.col("place") % BUCKET).cast("bigint")).alias("bitmap")
-    )
-    # Eight bytes of the bitmap are one word, read as a hexadecimal number.
-    words = F.transform(
-        F.sequence(F.lit(0), F.lit(BUCKET // WORD - 1)),
-        lambda w: F.conv(F.hex(F.substring("bitmap", w * 8 + 1, F.lit(8))), 16, -10).cast("bigint"),
-    )
-    filled = bitmaps.agg(F.map_from_entries(F.collect_list(F.struct("bucket", words))).alias("filled"))
-    # Buckets in order, empty ones as empty arrays, so that a bucket is found by its number.
-    empty = F.array().cast("array<bigint>")
-    every = F.sequence(F.lit(0), F.lit(bits // BUCKET - 1))
-    return filled.select(F.transform(every, lambda b: F.coalesce(F.try_element_at("filled", b), empty))).scalar()
+    keys = df.where(F.col(key).isNotNull()).select(key)
+    # Counted by a sketch first: a pass over the keys without a shuffle of them.
+    few = keys.agg(F.approx_count_distinct(key) * LEAST_BITS <= bits).scalar()
+    places = keys.where(few).select(place)
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % WORD).cast("int"))
+    filled = places.select(F.shiftright("place", 6).alias("word"), one.alias("filled"))
+    # Every word once, empty ones too, so that a word is found by its number.
+    empty = df.sparkSession.range(bits // WORD).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("filled"))
+    words = filled.unionByName(empty).groupBy("word").agg(F.bit_or("filled").alias("filled"))
+    in_order = F.sort_array(F.collect_list(F.struct("word", "filled")))
+    return words.agg(F.when(few, F.transform(in_order, lambda w: w["filled"]))).scalar()
 
 
 def may_be_in(filtered: Column, key: str, bits: int = BITS) -> Column:
     """False for rows whose key is certainly not among the filter's keys, or is NULL."""
 
     def is_set(place: Column) -> Column:
-        words = F.get(filtered, (place / BUCKET).cast("int"))
-        # Bytes come in order, a byte's bits lowest first, and the word's first byte is its highest.
-        byte, bit = (place / 8).cast("bigint") % 8, place % 8
-        word = F.get(words, ((place % BUCKET) / WORD).cast("int"))
-        return F.coalesce(F.getbit(word, ((7 - byte) * 8 + bit).cast("int")) == 1, F.lit(False))
+        word = F.get(filtered, F.shiftright(place, 6).cast("int"))
+        return F.getbit(word, (place % WORD).cast("int")) == 1
 
-    return F.col(key).isNotNull() & reduce(Column.__and__, map(is_set, _positions(F.col(key), bits)))
+    every = reduce(Column.__and__, map(is_set, _positions(F.col(key), bits)))
+    return F.col(key).isNotNull() & (filtered.isNull() | every)

@@ -16,11 +16,13 @@ from dayledger.functions.text import blank, normalised, outside_vocabulary
 class Rule:
     """A rejection code and the condition under which a row earns it.
 
-    Conditions follow SQL logic: an unknown (NULL) condition earns no code.
+    Conditions follow SQL logic: an unknown (NULL) condition earns no code. looked_up tells
+    that the condition needs other rows, and so a column that a join adds.
     """
 
     code: str
     broken: Column
+    looked_up: bool = False
 
 
 def not_positive(name: str) -> Column:
@@ -31,8 +33,8 @@ def customer_rules() -> list[Rule]:
     """Needs copies_in_load and in_history next to the customer columns."""
     return [
         Rule("CUSTOMER_ID_EMPTY", blank("customer_id")),
-        Rule("CUSTOMER_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1),
-        Rule("CUSTOMER_ID_DUPLICATE_IN_HISTORY", F.col("in_history").isNotNull()),
+        Rule("CUSTOMER_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1, looked_up=True),
+        Rule("CUSTOMER_ID_DUPLICATE_IN_HISTORY", F.col("in_history").isNotNull(), looked_up=True),
         Rule("REGISTRATION_DATE_INVALID", F.col("registration_date").isNull()),
     ]
 
@@ -47,9 +49,9 @@ def order_rules() -> list[Rule]:
     refund_too_early = (refund < F.col("cancelled_at")) | (refund < F.col("returned_at"))
     return [
         Rule("ORDER_ID_EMPTY", blank("order_id")),
-        Rule("ORDER_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1),
+        Rule("ORDER_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1, looked_up=True),
         Rule("CUSTOMER_ID_EMPTY", blank("customer_id")),
-        Rule("CUSTOMER_NOT_FOUND", F.col("customer_known").isNull()),
+        Rule("CUSTOMER_NOT_FOUND", F.col("customer_known").isNull(), looked_up=True),
         Rule("CREATED_AT_INVALID", F.col("created_at").isNull()),
         Rule("ORDER_AMOUNT_INVALID", not_positive("amount_kopecks")),
         Rule("ORDER_STATUS_INVALID", outside_vocabulary("status", ORDER_STATUSES)),
@@ -62,20 +64,45 @@ def payment_rules() -> list[Rule]:
     """Needs copies_in_load, order_known and order_created_at next to the payment columns."""
     return [
         Rule("PAYMENT_ID_EMPTY", blank("payment_id")),
-        Rule("PAYMENT_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1),
+        Rule("PAYMENT_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1, looked_up=True),
         Rule("ORDER_ID_EMPTY", blank("order_id")),
-        Rule("ORDER_NOT_FOUND", F.col("order_known").isNull()),
+        Rule("ORDER_NOT_FOUND", F.col("order_known").isNull(), looked_up=True),
         Rule("PAYMENT_DATE_INVALID", F.col("payment_date").isNull()),
         Rule("PAYMENT_AMOUNT_INVALID", not_positive("amount_kopecks")),
         Rule("PAYMENT_STATUS_INVALID", outside_vocabulary("status", PAYMENT_STATUSES)),
-        Rule("PAYMENT_BEFORE_ORDER", F.col("payment_date") < F.col("order_created_at")),
+        Rule("PAYMENT_BEFORE_ORDER", F.col("payment_date") < F.col("order_created_at"), looked_up=True),
     ]
 
 
+#: Bits of the rules that a row breaks by itself, by their place in the list.
+OWN = "_own_broken"
+
+
+def with_own_flags(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rules that need no other row, as one number.
+
+    Taken before the rows are shuffled to be looked up, so that columns which only these
+    rules read don't travel, and the texts are read once.
+    """
+    flags = F.lit(0)
+    for place, rule in enumerate(rules):
+        if not rule.looked_up:
+            flags = flags + F.when(rule.broken, 1 << place).otherwise(0)
+    return df.withColumn(OWN, flags)
+
+
 def with_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """dq_reason lists every broken rule's code in rule order; it is empty on a clean row."""
-    earned = (F.when(rule.broken, rule.code) for rule in rules)
-    return df.withColumn("dq_reason", F.concat_ws(REASON_SEPARATOR, *earned))
+    """dq_reason lists every broken rule's code in rule order; it is empty on a clean row.
+
+    with_own_flags may have judged the row's own columns before.
+    """
+    judged = OWN in df.columns
+
+    def broken(place: int, rule: Rule) -> Column:
+        return F.col(OWN).bitwiseAND(F.lit(1 << place)) != 0 if judged and not rule.looked_up else rule.broken
+
+    earned = (F.when(broken(place, rule), rule.code) for place, rule in enumerate(rules))
+    return df.withColumn("dq_reason", F.concat_ws(REASON_SEPARATOR, *earned)).drop(OWN)
 
 
 def hits(df: DataFrame, rules: Sequence[Rule], code: str) -> DataFrame:

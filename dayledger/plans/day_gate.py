@@ -67,18 +67,21 @@ def enriched_payments(payments: DataFrame, clean_orders: DataFrame) -> DataFrame
 def tagged_customers(
     customers: DataFrame, clean: DataFrame | None, load_date: str, options: GateOptions = GateOptions()
 ) -> DataFrame:
-    enriched = enriched_customers(customers, clean, load_date, options)
-    return quality.with_reasons(enriched, quality.customer_rules()).drop("copies_in_load", "in_history")
+    rules = quality.customer_rules()
+    enriched = enriched_customers(quality.with_own_flags(customers, rules), clean, load_date, options)
+    return quality.with_reasons(enriched, rules).drop("copies_in_load", "in_history")
 
 
 def tagged_orders(orders: DataFrame, clean_customers: DataFrame) -> DataFrame:
-    enriched = enriched_orders(orders, clean_customers)
-    return quality.with_reasons(enriched, quality.order_rules()).drop("copies_in_load", "customer_known")
+    rules = quality.order_rules()
+    enriched = enriched_orders(quality.with_own_flags(orders, rules), clean_customers)
+    return quality.with_reasons(enriched, rules).drop("copies_in_load", "customer_known")
 
 
 def tagged_payments(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
-    enriched = enriched_payments(payments, clean_orders)
-    return quality.with_reasons(enriched, quality.payment_rules()).drop(
+    rules = quality.payment_rules()
+    enriched = enriched_payments(quality.with_own_flags(payments, rules), clean_orders)
+    return quality.with_reasons(enriched, rules).drop(
         "copies_in_load", "order_known", "order_created_at"
     )
 

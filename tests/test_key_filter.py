@@ -53,3 +53,16 @@ def test_rows_without_parents_are_told_apart(spark):
     rows = spark.createDataFrame([("p1",), ("p3",), (None,)], "key string")
     got = lookups.with_parent_moment(rows, parents, "key", "moment", "known", "at").collect()
     assert sorted(map(tuple, got), key=str) == [("p1", 3, True), ("p3", None, None), (None, None, None)]
+
+
+def test_filter_is_hashed_and_left_out_for_very_many_keys(spark):
+    """Nothing is sorted for it; of too many different keys there is none, and all rows pass."""
+    rows = spark.range(20_000).select(F.col("id").alias("key"))
+    few = rows.select((F.col("key") % 4000).alias("key"))
+    for keys, there in ((few, True), (rows, False)):
+        row = spark.range(1).select(key_filter(keys, "key", BUCKET).isNotNull().alias("there"))
+        assert row.first().there is there
+        assert "SortAggregate" not in row._jdf.queryExecution().executedPlan().toString()
+    others = spark.range(-9_000, 0).select(F.col("id").alias("key"))
+    assert others.where(may_be_in(key_filter(rows, "key", BUCKET), "key", BUCKET)).count() == 9_000
+    assert others.where(may_be_in(key_filter(few, "key", BUCKET), "key", BUCKET)).count() < 4_000

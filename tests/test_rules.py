@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.operators import quality
+from dayledger.plans.day_gate import tagged_payments, typed
 
 VALID = {
     "customers": {
@@ -168,3 +169,19 @@ def test_volume_counts_both_sides(spark):
     tagged = spark.createDataFrame([(None, ""), (None, "A")], rows)
     (row,) = quality.volume_by_entity({"orders": tagged}).collect()
     assert (row["valid_rows"], row["invalid_rows"], row["total_rows"]) == (1, 1, 2)
+
+
+def test_columns_of_own_rules_are_not_shuffled(spark):
+    """Rules that need no other row are judged before the joins; the codes stay in rule order."""
+    rows = [("1", "o", "x", None, "lost"), ("1", "p", "2026-01-01", 5, "success"), (" ", None, "2026-01-01", 5, "failed")]
+    raw = spark.createDataFrame(rows, "payment_id string, order_id string, payment_date string, amount_kopecks long, status string")
+    parents = spark.createDataFrame([("p", "2026-02-01")], "order_id string, created_at string")
+    tagged = tagged_payments(typed(raw, "payments"), parents.withColumn("created_at", F.to_timestamp("created_at")))
+    assert sorted(r.dq_reason for r in tagged.collect()) == [
+        "PAYMENT_ID_DUPLICATE_IN_LOAD | ORDER_NOT_FOUND | PAYMENT_DATE_INVALID | PAYMENT_AMOUNT_INVALID | PAYMENT_STATUS_INVALID",
+        "PAYMENT_ID_DUPLICATE_IN_LOAD | PAYMENT_BEFORE_ORDER",
+        "PAYMENT_ID_EMPTY | ORDER_ID_EMPTY | ORDER_NOT_FOUND",
+    ]
+    plan = tagged.select("dq_reason")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Join")]
+    assert "status" not in above and "amount_kopecks" not in above and "_own_broken" in above
