@@ -39,6 +39,9 @@ UNDATED = "none"
 #: once there are so many of them.
 DELTA_SHARE = 0.25
 MOST_DELTAS = 8
+#: A load of more rows than this, and than that share of all bases, is not written as deltas
+#: first: they would all be merged at once.
+SMALL_LOAD = 10_000
 MANIFEST = "item string, load_date date, commit string, entity string, month string, folder string, step long, rows long"
 Commits = Mapping[date, str]
 
@@ -189,12 +192,22 @@ def _due(base: int, deltas: list[tuple[str, int]]) -> bool:
     return len(deltas) > MOST_DELTAS or sum(n for _, n in deltas) > DELTA_SHARE * base
 
 
+def _mostly_new(spark: SparkSession, warehouse: str, entity: str, load_date: str, before: State) -> bool:
+    """Whether the day has so many rows that nearly every month would get a delta and a new base.
+
+    Counted from the footers of the day's files. What the day held before is not counted.
+    """
+    held = sum(n for (e, _), (_, n) in before.bases.items() if e == entity)
+    return read_day(spark, warehouse, entity, load_date).count() > max(DELTA_SHARE * held, SMALL_LOAD)
+
+
 def publish(spark: SparkSession, warehouse: str, load_date: str, commit: str, committed: Commits) -> None:
     """Write the state with a day whose rows are in the warehouse but not yet committed.
 
     committed: the commits in the ledger without this load. The day may be older than days
     already held, and may have been held before. Without a state that holds the other days
-    as they are, all months are built from the history.
+    as they are, all months are built from the history; so are those of an entity of which
+    the day holds a great part.
     """
     day = date.fromisoformat(load_date)
     others = {d: c for d, c in committed.items() if d != day}
@@ -202,7 +215,7 @@ def publish(spark: SparkSession, warehouse: str, load_date: str, commit: str, co
     before = next((s for s in states if {d: c for d, c in s.commits.items() if d != day} == others), None)
     state = State(commit, 1 + max((s.step for s in states), default=0), {**others, day: commit})
     for entity in KEYS:
-        if before is None:
+        if before is None or _mostly_new(spark, warehouse, entity, load_date, before):
             rows = _history(spark, warehouse, entity, [*others, day])
             counts = _write(_months(_latest(rows, entity), entity), warehouse, entity, commit, "base")
             state.bases |= {(entity, month): (commit, n) for month, n in counts.items()}

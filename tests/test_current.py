@@ -175,3 +175,18 @@ def test_readers_keep_their_state_until_it_is_removed(spark, tmp_path, monkeypat
     assert current.vacuum(spark, w.path, w.commits, keep=1) == []
     w.load(DAYS[1], [order(1, "delivered")])
     w.check()
+
+
+def test_a_day_with_most_rows_goes_to_new_bases_at_once(spark, tmp_path, monkeypatch):
+    """No deltas are written and merged for it, also when it is older or loaded again."""
+    monkeypatch.setattr(current, "SMALL_LOAD", 0)
+    warehouse = Warehouse(spark, tmp_path, "orders", monkeypatch)
+    warehouse.load(DAYS[1], [order(n, "paid", 20 * n) for n in range(8)])
+    warehouse.load(DAYS[0], [order(n, "new", 20 * n) for n in range(4, 12)])
+    warehouse.load(DAYS[1], [order(n, "shipped", 20 * n) for n in range(2, 9)])
+    warehouse.check()
+    assert all(not state.deltas for state in current._states(spark, str(tmp_path)))
+    warehouse.load(DAYS[2], [order(1, "late", 20)])
+    warehouse.check()
+    newest = current._states(spark, str(tmp_path))[0]
+    assert {folder for folder, _ in newest.bases.values()} == {"commit3", "commit4"}, "other months are left alone"
