@@ -1,9 +1,11 @@
-"""Removal of near duplicates: an exact similarity join over word shingles.
-
-The shingles of a text are put in one order for all texts: those that a sample shows to be
-common last, the others by their hash. Two texts that are similar enough share a shingle
-within the first few of both (prefix filter), at places and with sizes that still allow it.
-So texts meet only under shingles of their prefixes, and no similar pair is lost.
+"""Removal of near duplicates: SimHash groups first, then an exact similarity join of the rest.
+
+Texts whose fingerprints link by pigeonring filtering (`simhash.py`) are compared and grouped
+first. What similar texts these groups leave apart is found by their shingles. The shingles
+of a text are put in one order for all texts: those that a sample shows to be common last,
+the others by their hash. Two texts that are similar enough share a shingle within the first
+few of both (prefix filter), at places and with sizes that still allow it. So texts meet only
+under shingles of their prefixes, and no similar pair is lost.
 """
 
 from __future__ import annotations
@@ -19,9 +21,12 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.components import components
 from dayledger.llm.shared import LOWER_BYTES, NO_ID, discard, ship, shuffles_end_with_their_query, stored
+from dayledger.llm.simhash import fingerprint, links
 
 WORDS = 5
 SIMILARITY = 0.8
+#: Words of a shingle of the fingerprints, as in op4.
+SIGN_WORDS = 4
 #: Texts under one shingle up to which all shingles are paired in one go.
 BLOCK = 16
 #: One text in so many is looked at for common shingles, and so often a shingle must be seen
@@ -64,16 +69,33 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _marks(docs: DataFrame) -> DataFrame:
-    """(id, version, d1, d2) of each row; d1 and d2 are a digest of its words."""
+    """(id, version, d1, d2, fp) of each row: a digest of its words and their fingerprint."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests = b"".join(_digest(_words(t)) for t in batch.column(2).to_pylist())
-            halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
-            columns = [*batch.columns[:2], *(pa.array(halves[:, i]) for i in (0, 1))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "version", "d1", "d2"])
+            texts = batch.column(2).to_pylist()
+            halves = np.frombuffer(b"".join(_digest(_words(t)) for t in texts), "<i8").reshape(-1, 2)
+            fps = pa.array([fingerprint(t, SIGN_WORDS) for t in texts], pa.int64())
+            columns = [*batch.columns[:2], *(pa.array(halves[:, i]) for i in (0, 1)), fps]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "version", "d1", "d2", "fp"])
+
+    return _keyed(docs).mapInArrow(rows, "id long, version long, d1 long, d2 long, fp long")
+
 
-    return _keyed(docs).mapInArrow(rows, "id long, version long, d1 long, d2 long")
+def _signed(texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts that connect what links of their fingerprints connect.
+
+    Texts of one fingerprint are tied to the smallest of them, and these as their fingerprints.
+    """
+    heads = texts.groupBy("fp").agg(F.min("node").alias("head"))
+    same = texts.join(heads, "fp").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    pairs = links(heads.select("fp"))
+    for side in ("a", "b"):
+        ends = heads.select(F.col("fp").alias(side), F.col("head").alias(f"head_{side}"))
+        pairs = pairs.join(ends, side)
+    linked = pairs.select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
+    both = same.unionByName(linked).where("a <> b")
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,15 +196,15 @@ def _possible(similarity: float, sizes, places, x, y) -> np.ndarray:
 
 
 def _chains(similarity: float):
-    """Each text with the next one under a shingle, in one of four orders."""
+    """Each text with the next one under a shingle, in one of four orders, if of another root."""
 
     def work(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, node, size, place = columns
+        key, node, size, place, root = columns
         turn = np.mod(key, 4)
         drawn = _mixed(node.view(np.uint64) ^ turn.astype(np.uint64)) >> np.uint64(2)
         order = np.lexsort((node, np.where(turn == 0, size, drawn.view(np.int64)), key))
-        key, node, size, place = (c[order] for c in (key, node, size, place))
-        x = np.flatnonzero(key[1:] == key[:-1])
+        key, node, size, place, root = (c[order] for c in (key, node, size, place, root))
+        x = np.flatnonzero((key[1:] == key[:-1]) & (root[1:] != root[:-1]))
         x = x[_possible(similarity, size, place, x, x + 1)]
         yield _pairs(node[x], node[x + 1])
 
@@ -257,30 +279,37 @@ def _similar(docs: DataFrame, texts: DataFrame, pairs: DataFrame, words: int, si
 def _groups(docs: DataFrame, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Texts (node, id, version of the row that stays for it), and the roots of those that link."""
     marked = stored(_marks(docs), "marks")
-    texts = marked.groupBy("d1", "d2").agg(F.min(F.struct("id", "version")).alias("first"))
-    texts = stored(texts.select(F.col("d1").alias("node"), "first.*"), "texts")
+    texts = marked.groupBy("d1", "d2").agg(F.min(F.struct("id", "version")).alias("first"), F.first("fp").alias("fp"))
+    texts = stored(texts.select(F.col("d1").alias("node"), "first.*", "fp"), "texts")
     discard(marked)
+    signed = stored(_signed(texts), "signed-pairs")
+    similar = _similar(docs, texts, signed, words, similarity)
+    roots = stored(components(similar), "signed-groups")
 
     met = _prefixes(docs, words, similarity).repartition("shingle").sortWithinPartitions("shingle", "node")
     columns = "shingle long, node long, size int, place int"
     shared = stored(met.mapInArrow(_by_run(_shared), columns), "shared-shingles")
-    runs = shared.repartition("shingle").sortWithinPartitions("shingle", "node")
-    chained = stored(runs.mapInArrow(_by_run(_chains(similarity)), "a long, b long").distinct(), "chained-pairs")
-    similar = _similar(docs, texts, chained, words, similarity)
 
+    def rooted() -> DataFrame:
+        root = F.coalesce("root", "node").alias("root")
+        return shared.join(roots, "node", "left").select("shingle", "node", "size", "place", root).repartition("shingle")
+
+    runs = rooted().sortWithinPartitions("shingle", "node")
+    chained = runs.mapInArrow(_by_run(_chains(similarity)), "a long, b long").distinct()
+    chained = stored(chained.join(signed, ["a", "b"], "left_anti"), "chained-pairs")
+    similar = similar.unionByName(_similar(docs, texts, chained, words, similarity))
     roots = stored(components(similar), "chained-groups")
-    rooted = shared.join(roots, "node", "left").select(
-        "shingle", "node", "size", "place", F.coalesce("root", "node").alias("root")
-    )
-    runs = rooted.repartition("shingle").sortWithinPartitions("shingle", "size", "node")
+    runs = rooted().sortWithinPartitions("shingle", "size", "node")
     rest = runs.mapInArrow(_by_run(_rest(similarity)), "a long, b long").distinct()
-    rest = stored(rest.join(chained, ["a", "b"], "left_anti"), "other-pairs")
+    compared = signed.unionByName(chained)
+    rest = stored(rest.join(compared, ["a", "b"], "left_anti"), "other-pairs")
     discard(shared)
+    discard(signed)
     discard(chained)
     if not rest.isEmpty():
         roots = components(similar.unionByName(_similar(docs, texts, rest, words, similarity)))
     discard(rest)
-    return texts, roots
+    return texts.drop("fp"), roots
 
 
 def without_near_duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -293,7 +322,8 @@ def without_near_duplicates(docs: DataFrame, words: int = WORDS, similarity: flo
     or go each by its text. Shorter texts are one shingle; texts without words are copies of
     each other. A row without doc_id counts as the smallest.
 
-    No link is lost. Under each shingle of the prefixes texts are first compared along a
+    No link is lost. Texts that op4's fingerprints link are compared first and grouped where
+    they are similar. Then, under each shingle of the prefixes, texts are compared along a
     chain, in proportion to their number, which joins most of what is similar; then every
     possible pair that is still in different groups is compared.
     """

@@ -1,3 +1,4 @@
+from dayledger.llm import near_dedup, simhash
 from dayledger.llm.near_dedup import without_near_duplicates
 from fixtures import docs_of, prose
 
@@ -30,3 +31,26 @@ def test_repeated_and_missing_ids_go_by_text(spark):
     kept = {(r.doc_id, r.text) for r in without_near_duplicates(docs_of(spark, rows)).collect()}
     assert {(1, prose(1, 100)), (2, prose(2, 100)), (None, prose(4, 100))} <= kept
     assert len(kept) == 4 and len(kept & {rows[3], rows[4]}) == 1
+
+
+def test_fingerprints_link_texts_before_shingles_do(spark, monkeypatch):
+    """Texts that op4 links are grouped by its links, so chains no longer pair them; below 0.8 they stay."""
+    base = prose(7, 400).split()
+    copies = [" ".join([*base[:n], "other", *base[n + 1 :]]) for n in (390, 395, 398)]
+    rows = [(0, " ".join(base)), *enumerate(copies, 1), (9, prose(8, 400))]
+    asked = []
+
+    def noted(docs, texts, pairs, words, similarity):
+        asked.append({frozenset((r.a, r.b)) for r in pairs.collect()})
+        return similar(docs, texts, pairs, words, similarity)
+
+    similar = near_dedup._similar
+    monkeypatch.setattr(near_dedup, "_similar", noted)
+    docs = docs_of(spark, rows)
+    fps = {i: simhash.fingerprint(t, 4) for i, t in rows}
+    linked = [i for i in (1, 2, 3) if (fps[i] ^ fps[0]).bit_count() <= 4]
+    assert linked
+    kept = sorted(r.doc_id for r in without_near_duplicates(docs).collect())
+    assert kept == [0, 9]
+    assert len(asked[0]) >= len(linked)
+    assert not asked[0] & asked[1]
