@@ -111,3 +111,15 @@ def test_no_hints_force_a_broadcast(tables):
     # Sides are broadcast by measured size only, never by a hint.
     for df in (tables.marts.orders_with_customer_dim, tables.tagged("payments"), tables.clock_marts.orders_by_hour_dow):
         assert "broadcast" not in df._jdf.queryExecution().logical().toString().lower()
+
+
+def test_membership_reads_and_joins_orders_once(spark, sf_dir):
+    """Both answers come from one join: twice as many rows in one stage would halve its tasks."""
+    found = QUERIES["j11_membership"](spark, sf_dir)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" not in plan
+    rows = [(r.order_id, r.touched) for r in found.collect()]
+    refunded = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_returnflag NOT IN ('N', 'A')")
+    wanted = {r.l_orderkey for r in refunded.select("l_orderkey").distinct().collect()}
+    assert len(rows) == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    assert {key for key, there in rows if there} == wanted & {key for key, _ in rows}
