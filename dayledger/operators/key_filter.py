@@ -43,7 +43,8 @@ def key_filter(df: DataFrame, key: str, bits: int = BITS) -> Column:
     keys = df.where(F.col(key).isNotNull()).select(key)
     # Counted by a sketch first: a pass over the keys without a shuffle of them.
     few = keys.agg(F.approx_count_distinct(key) * LEAST_BITS <= bits).scalar()
-    places = keys.where(few).select(place)
+    # Each key once: a load names most of its parents many times, and a place costs more than a key.
+    places = keys.where(few).distinct().select(place)
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % WORD).cast("int"))
     filled = places.select(F.shiftright("place", 6).alias("word"), one.alias("filled"))
     # Every word once, empty ones too, so that a word is found by its number.

@@ -25,14 +25,18 @@ def join_by_key(df: DataFrame, right: DataFrame, key: str, how: str = "left") ->
     return joined.drop("_key")
 
 
-def with_copies_in_load(df: DataFrame, key: str, out: str = "copies_in_load") -> DataFrame:
+def with_copies_in_load(
+    df: DataFrame, key: str, out: str = "copies_in_load", keys_of: DataFrame | None = None
+) -> DataFrame:
     """How many rows of the load share the row's key; NULL keys are counted together.
 
     Only keys seen more than once come back to the rows: on clean data that side is
-    empty or tiny and adaptive execution turns the join into a broadcast.
+    empty or tiny and adaptive execution turns the join into a broadcast. keys_of holds the
+    same rows as df where their keys are cheaper to read, as before a join.
     """
     repeated = (
-        df.select(F.col(key).alias("_key"))
+        (df if keys_of is None else keys_of)
+        .select(F.col(key).alias("_key"))
         .groupBy("_key")
         .agg(F.count("*").alias("_copies"))
         .where("_copies > 1")

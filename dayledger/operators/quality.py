@@ -16,13 +16,13 @@ from dayledger.functions.text import blank, normalised, outside_vocabulary
 class Rule:
     """A rejection code and the condition under which a row earns it.
 
-    Conditions follow SQL logic: an unknown (NULL) condition earns no code. looked_up tells
-    that the condition needs other rows, and so a column that a join adds.
+    Conditions follow SQL logic: an unknown (NULL) condition earns no code. looked_up names
+    the column that a join has to add first, if the condition needs other rows.
     """
 
     code: str
     broken: Column
-    looked_up: bool = False
+    looked_up: str | None = None
 
 
 def not_positive(name: str) -> Column:
@@ -33,8 +33,8 @@ def customer_rules() -> list[Rule]:
     """Needs copies_in_load and in_history next to the customer columns."""
     return [
         Rule("CUSTOMER_ID_EMPTY", blank("customer_id")),
-        Rule("CUSTOMER_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1, looked_up=True),
-        Rule("CUSTOMER_ID_DUPLICATE_IN_HISTORY", F.col("in_history").isNotNull(), looked_up=True),
+        Rule("CUSTOMER_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1, looked_up="copies_in_load"),
+        Rule("CUSTOMER_ID_DUPLICATE_IN_HISTORY", F.col("in_history").isNotNull(), looked_up="in_history"),
         Rule("REGISTRATION_DATE_INVALID", F.col("registration_date").isNull()),
     ]
 
@@ -49,9 +49,9 @@ def order_rules() -> list[Rule]:
     refund_too_early = (refund < F.col("cancelled_at")) | (refund < F.col("returned_at"))
     return [
         Rule("ORDER_ID_EMPTY", blank("order_id")),
-        Rule("ORDER_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1, looked_up=True),
+        Rule("ORDER_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1, looked_up="copies_in_load"),
         Rule("CUSTOMER_ID_EMPTY", blank("customer_id")),
-        Rule("CUSTOMER_NOT_FOUND", F.col("customer_known").isNull(), looked_up=True),
+        Rule("CUSTOMER_NOT_FOUND", F.col("customer_known").isNull(), looked_up="customer_known"),
         Rule("CREATED_AT_INVALID", F.col("created_at").isNull()),
         Rule("ORDER_AMOUNT_INVALID", not_positive("amount_kopecks")),
         Rule("ORDER_STATUS_INVALID", outside_vocabulary("status", ORDER_STATUSES)),
@@ -64,18 +64,26 @@ def payment_rules() -> list[Rule]:
     """Needs copies_in_load, order_known and order_created_at next to the payment columns."""
     return [
         Rule("PAYMENT_ID_EMPTY", blank("payment_id")),
-        Rule("PAYMENT_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1, looked_up=True),
+        Rule("PAYMENT_ID_DUPLICATE_IN_LOAD", F.col("copies_in_load") > 1, looked_up="copies_in_load"),
         Rule("ORDER_ID_EMPTY", blank("order_id")),
-        Rule("ORDER_NOT_FOUND", F.col("order_known").isNull(), looked_up=True),
+        Rule("ORDER_NOT_FOUND", F.col("order_known").isNull(), looked_up="order_known"),
         Rule("PAYMENT_DATE_INVALID", F.col("payment_date").isNull()),
         Rule("PAYMENT_AMOUNT_INVALID", not_positive("amount_kopecks")),
         Rule("PAYMENT_STATUS_INVALID", outside_vocabulary("status", PAYMENT_STATUSES)),
-        Rule("PAYMENT_BEFORE_ORDER", F.col("payment_date") < F.col("order_created_at"), looked_up=True),
+        Rule("PAYMENT_BEFORE_ORDER", F.col("payment_date") < F.col("order_created_at"), looked_up="order_known"),
     ]
 
 
-#: Bits of the rules that a row breaks by itself, by their place in the list.
-OWN = "_own_broken"
+#: Bits of the broken rules that are judged already, by their place in the list.
+BROKEN = "_own_broken"
+
+
+def _bits(rules: Sequence[Rule], looked_up: str | None) -> Column:
+    bits = F.lit(0)
+    for place, rule in enumerate(rules):
+        if rule.looked_up == looked_up:
+            bits = bits + F.when(rule.broken, 1 << place).otherwise(0)
+    return bits
 
 
 def with_own_flags(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -84,25 +92,30 @@ def with_own_flags(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     Taken before the rows are shuffled to be looked up, so that columns which only these
     rules read don't travel, and the texts are read once.
     """
-    flags = F.lit(0)
-    for place, rule in enumerate(rules):
-        if not rule.looked_up:
-            flags = flags + F.when(rule.broken, 1 << place).otherwise(0)
-    return df.withColumn(OWN, flags)
+    return df.withColumn(BROKEN, _bits(rules, None))
+
+
+def with_flags_of(df: DataFrame, rules: Sequence[Rule], looked_up: str, *also: str) -> DataFrame:
+    """Adds the rules that a look-up decides to those of with_own_flags; its columns are dropped.
+
+    Neither they nor what was compared with them travel to the next look-up.
+    """
+    return df.withColumn(BROKEN, F.col(BROKEN) + _bits(rules, looked_up)).drop(looked_up, *also)
 
 
 def with_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """dq_reason lists every broken rule's code in rule order; it is empty on a clean row.
 
-    with_own_flags may have judged the row's own columns before.
+    with_own_flags may have judged the row's own columns before, and with_flags_of the
+    rules whose looked up column is not there any more.
     """
-    judged = OWN in df.columns
 
     def broken(place: int, rule: Rule) -> Column:
-        return F.col(OWN).bitwiseAND(F.lit(1 << place)) != 0 if judged and not rule.looked_up else rule.broken
+        judged = BROKEN in df.columns and rule.looked_up not in df.columns
+        return F.col(BROKEN).bitwiseAND(F.lit(1 << place)) != 0 if judged else rule.broken
 
     earned = (F.when(broken(place, rule), rule.code) for place, rule in enumerate(rules))
-    return df.withColumn("dq_reason", F.concat_ws(REASON_SEPARATOR, *earned)).drop(OWN)
+    return df.withColumn("dq_reason", F.concat_ws(REASON_SEPARATOR, *earned)).drop(BROKEN)
 
 
 def hits(df: DataFrame, rules: Sequence[Rule], code: str) -> DataFrame:

@@ -57,13 +57,17 @@ def enriched_orders(orders: DataFrame, clean_customers: DataFrame) -> DataFrame:
     return lookups.with_presence(copies, clean_customers, "customer_id", "customer_known", keys_of=orders)
 
 
-def enriched_payments(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
-    copies = lookups.with_copies_in_load(payments, "payment_id")
+def _with_order(rows: DataFrame, payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
     return lookups.with_parent_moment(
-        copies, clean_orders, "order_id", "created_at", "order_known", "order_created_at", keys_of=payments
+        rows, clean_orders, "order_id", "created_at", "order_known", "order_created_at", keys_of=payments
     )
 
 
+def enriched_payments(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
+    found = _with_order(payments, payments, clean_orders)
+    return lookups.with_copies_in_load(found, "payment_id", keys_of=payments)
+
+
 def tagged_customers(
     customers: DataFrame, clean: DataFrame | None, load_date: str, options: GateOptions = GateOptions()
 ) -> DataFrame:
@@ -73,38 +77,40 @@ def tagged_customers(
 
 
 def tagged_orders(orders: DataFrame, clean_customers: DataFrame) -> DataFrame:
+    """Copies are judged first: the order's id is not needed where customers are looked up."""
     rules = quality.order_rules()
-    enriched = enriched_orders(quality.with_own_flags(orders, rules), clean_customers)
-    return quality.with_reasons(enriched, rules).drop("copies_in_load", "customer_known")
+    copies = lookups.with_copies_in_load(quality.with_own_flags(orders, rules), "order_id")
+    judged = quality.with_flags_of(copies, rules, "copies_in_load")
+    found = lookups.with_presence(judged, clean_customers, "customer_id", "customer_known", keys_of=orders)
+    return quality.with_reasons(found, rules).drop("customer_known")
 
 
 def tagged_payments(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
+    """Orders are looked up first: neither their ids nor moments are needed where copies are."""
     rules = quality.payment_rules()
-    enriched = enriched_payments(quality.with_own_flags(payments, rules), clean_orders)
-    return quality.with_reasons(enriched, rules).drop(
-        "copies_in_load", "order_known", "order_created_at"
-    )
+    found = _with_order(quality.with_own_flags(payments, rules), payments, clean_orders)
+    judged = quality.with_flags_of(found, rules, "order_known", "order_created_at")
+    copies = lookups.with_copies_in_load(judged, "payment_id", keys_of=payments)
+    return quality.with_reasons(copies, rules).drop("copies_in_load")
 
 
 def write_gated(tagged: DataFrame, data_root: str, entity: str, load_date: str) -> tuple[int, int]:
     """Write both halves of a tagged day; returns (valid rows, invalid rows).
 
-    The tagged day is the only thing kept between the three jobs: one grouped count fills
-    it, both writes read it. What is lost with an executor is computed again.
+    The tagged day is the only thing kept between the two jobs: the first write fills it, the
+    second reads it. What is lost with an executor is computed again. Rows are counted from
+    the footers of the written files.
     """
     kept = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    halves = {"clean": quality.accepted(kept), "quarantine": quality.rejected(kept)}
     try:
-        split = {
-            row["clean"]: row["rows"]
-            for row in kept.groupBy((F.col("dq_reason") == "").alias("clean"))
-            .agg(F.count("*").alias("rows"))
-            .collect()
-        }
-        write_day(quality.accepted(kept), f"{data_root}/clean", entity, load_date)
-        write_day(quality.rejected(kept), f"{data_root}/quarantine", entity, load_date)
-        return split.get(True, 0), split.get(False, 0)
+        for layer, rows in halves.items():
+            write_day(rows, f"{data_root}/{layer}", entity, load_date)
     finally:
         kept.unpersist()
+    spark = tagged.sparkSession
+    valid, invalid = (read_day(spark, f"{data_root}/{layer}", entity, load_date).count() for layer in halves)
+    return valid, invalid
 
 
 def gate_day(

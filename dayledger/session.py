@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     # more shuffle because a later step wanted the join's partitioning.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The last stage of a kept result is planned at run time, too: hot keys are split, small
+    # partitions are put together and not written as a file each.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # Keep inferred Python/Parquet behaviour independent of the host.
     "spark.sql.parquet.compression.codec": "zstd",
 }

@@ -2,12 +2,14 @@
 
 from functools import reduce
 
+import re
+
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.operators import quality
-from dayledger.plans.day_gate import tagged_payments, typed
+from dayledger.plans.day_gate import enriched_payments, tagged_payments, typed
 
 VALID = {
     "customers": {
@@ -185,3 +187,44 @@ def test_columns_of_own_rules_are_not_shuffled(spark):
     plan = tagged.select("dq_reason")._jdf.queryExecution().optimizedPlan().toString()
     above = plan[: plan.index("Join")]
     assert "status" not in above and "amount_kopecks" not in above and "_own_broken" in above
+
+
+def test_what_a_look_up_decided_does_not_travel_to_the_next(spark):
+    """Orders are judged before copies are counted: only the id, the day and the bits are left."""
+    raw = spark.createDataFrame(
+        [("1", "p", "2026-01-01", 5, "success"), ("1", "q", "2026-03-01", 5, "success"), ("2", "p", "2026-03-01", 5, "success")],
+        "payment_id string, order_id string, payment_date string, amount_kopecks long, status string",
+    )
+    parents = spark.createDataFrame([("p", "2026-02-01")], "order_id string, created_at string")
+    tagged = tagged_payments(typed(raw, "payments"), parents.withColumn("created_at", F.to_timestamp("created_at")))
+    assert sorted(r.dq_reason for r in tagged.collect()) == [
+        "",
+        "PAYMENT_ID_DUPLICATE_IN_LOAD | ORDER_NOT_FOUND",
+        "PAYMENT_ID_DUPLICATE_IN_LOAD | PAYMENT_BEFORE_ORDER",
+    ]
+    plan = tagged.select("dq_reason")._jdf.queryExecution().optimizedPlan().toString()
+    between = plan[plan.index("Join") : plan.index("Join", plan.index("Join") + 1)]
+    assert re.search(r"Project \[payment_id#\d+, \(+_own_broken#\d+ \+ [^,]*\) AS _own_broken#\d+\]", between)
+
+
+def test_flags_are_those_of_the_rules_one_by_one(spark):
+    """Bits gathered before, between and after the look-ups give the codes of the plain conditions."""
+    ids = F.when(F.col("id") % 7 == 0, " ").when(F.col("id") % 5 > 0, F.col("id").cast("string")).otherwise("same")
+    order = F.when(F.col("id") % 6 > 0, F.concat(F.lit("o"), F.col("id") % 9))
+    raw = spark.range(400).select(
+        ids.alias("payment_id"),
+        order.alias("order_id"),
+        F.when(F.col("id") % 11 > 0, F.concat(F.lit("2026-01-0"), F.col("id") % 9 + 1)).alias("payment_date"),
+        (F.col("id") % 13).cast("string").alias("amount_kopecks"),
+        F.when(F.col("id") % 4 == 0, "lost").otherwise("success").alias("status"),
+    )
+    parents = spark.range(6).select(
+        F.concat(F.lit("o"), "id").alias("order_id"), F.lit("2026-01-05").cast("timestamp").alias("created_at")
+    )
+    rows = typed(raw, "payments")
+    tagged = tagged_payments(rows, parents)
+    rules = quality.payment_rules()
+    plain = quality.with_reasons(enriched_payments(rows, parents), rules).select(*tagged.columns)
+    assert sorted(map(str, tagged.collect())) == sorted(map(str, plain.collect()))
+    for rule in rules:
+        assert not tagged.where(F.contains("dq_reason", F.lit(rule.code))).isEmpty(), rule.code
