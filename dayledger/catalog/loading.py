@@ -3,6 +3,8 @@
 Files go to a new folder under the cluster's shared one; each query writes whole tables.
 """
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from dayledger.catalog.quality import zone_free
 from dayledger.catalog.registry import query
 from dayledger.operators.versions import latest_version, within_lookback
 from dayledger.plans.day_gate import gate_day
+from dayledger.session import HASH_JOINS, settings, side_by_side
 from dayledger.sources import layers, ledger
 from dayledger.sources.driver_tables import LOAD_DATE, DriverTables
 from dayledger.sources.schemas import ENTITY_COLUMNS
@@ -155,9 +158,12 @@ def _(t: DriverTables) -> DataFrame:
 
 
 def _gated_day(t: DriverTables, root: str) -> dict:
-    for entity in ENTITY_COLUMNS:
+    def write(entity: str) -> None:
         raw = getattr(t, f"raw_{entity}").select(*ENTITY_COLUMNS[entity])
         layers.write_raw(raw, f"{root}/raw", entity, LOAD_DATE)
+
+    with settings(t.spark, HASH_JOINS):
+        side_by_side(t.spark, [partial(write, entity) for entity in ENTITY_COLUMNS])
     return gate_day(t.spark, root, LOAD_DATE)
 
 

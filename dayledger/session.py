@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from typing import TypeVar
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 RUNTIME_SETTINGS = {
     # Day and hour arithmetic is defined in UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -21,6 +29,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+#: A join whose smaller side has at most this much in every shuffle partition, as measured, is
+#: hashed and not sorted; a larger one is sorted and can spill. It takes effect where it is no
+#: less than the advisory partition size.
+HASH_JOINS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings above and leave cluster sizing to whoever started the session."""
@@ -29,6 +42,29 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """The settings hold for the jobs started inside, and are put back after them."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], T]]) -> list[T]:
+    """Results of independent jobs started at once, so that the end of one leaves no core idle.
+
+    Spark gives their tasks the same cores as before. All jobs end before an error is raised.
+    """
+    with ThreadPoolExecutor(max(len(jobs), 1)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in running]
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the bench."""
     builder = (

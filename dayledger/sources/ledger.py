@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.operators.lookups import join_by_key
+from dayledger.session import side_by_side
 from dayledger.sources.current import publish
 from dayledger.sources.layers import clear_day, read_day, read_if_present, write_day
 from dayledger.sources.schemas import LEDGER_SCHEMA
@@ -98,11 +100,15 @@ def load_day(
         **{f"quarantine_{entity}": (f"{data_root}/quarantine", entity) for entity in DATA_TABLES[:3]},
         "dq_metrics": (data_root, "dq_metrics"),
     }
-    rows = {}
-    for table, (root, entity) in places.items():
+
+    def copied(table: str) -> int:
+        root, entity = places[table]
         write_day(read_day(spark, root, entity, load_date), warehouse, table, load_date)
         # Counted from the footers of the written files, not by computing the rows again.
-        rows[table] = read_day(spark, warehouse, table, load_date).count()
+        return read_day(spark, warehouse, table, load_date).count()
+
+    counts = side_by_side(spark, [partial(copied, table) for table in places])
+    rows = dict(zip(places, counts, strict=True))
     commit = uuid.uuid4().hex
     if keep_current:
         publish(spark, warehouse, load_date, commit, commits_of(read_ledger(spark, warehouse)))
