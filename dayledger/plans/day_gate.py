@@ -12,7 +12,6 @@ from dayledger.fixed_values import HISTORY_LOOKBACK_DAYS
 from dayledger.functions.moments import parsed
 from dayledger.operators import lookups, quality
 from dayledger.operators.versions import within_lookback
-from dayledger.session import HASH_JOINS, settings
 from dayledger.sources.layers import read_day, read_layer, write_day
 from dayledger.sources.schemas import ENTITY_MOMENTS
 
@@ -132,16 +131,14 @@ def write_gated(tagged: DataFrame, data_root: str, entity: str, load_date: str)
     second reads it. What is lost with an executor is computed again. Rows are counted from
     the footers of the written files.
     """
+    kept = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    halves = {"clean": quality.accepted(kept), "quarantine": quality.rejected(kept)}
+    try:
+        for layer, rows in halves.items():
+            write_day(rows, f"{data_root}/{layer}", entity, load_date)
+    finally:
+        kept.unpersist()
     spark = tagged.sparkSession
-    # Before anything is planned: a kept plan is made with the settings of the moment.
-    with settings(spark, HASH_JOINS):
-        kept = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-        halves = {"clean": quality.accepted(kept), "quarantine": quality.rejected(kept)}
-        try:
-            for layer, rows in halves.items():
-                write_day(rows, f"{data_root}/{layer}", entity, load_date)
-        finally:
-            kept.unpersist()
     valid, invalid = (read_day(spark, f"{data_root}/{layer}", entity, load_date).count() for layer in halves)
     return valid, invalid
 
