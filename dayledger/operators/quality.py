@@ -148,6 +148,25 @@ def volume_by_entity(tagged_by_entity: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def hits_by_rule(judged: DataFrame, key: str, rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """What reason_hits gives for the rejected rows where only copies of the key are open.
+
+    judged and rows are as for volume_by_key. A row with two broken rules counts under both,
+    so rows don't meet their copies: these are all rows but those whose key is the only one.
+    """
+    (copies,) = (rule.code for rule in rules if rule.looked_up == "copies_in_load")
+    keys = rows.groupBy(key).agg(F.count("*").alias("_copies"), F.min("load_date").alias("load_date"))
+    single = keys.where("_copies = 1").groupBy("load_date").agg(F.count("*").alias("_rows"))
+    # Rows are counted by all their rules first, so only few combinations are split.
+    sets = judged.groupBy("load_date", BROKEN).agg(F.count("*").alias("_rows"))
+    codes = [F.when(F.col(BROKEN).bitwiseAND(F.lit(1 << n)) != 0, rule.code) for n, rule in enumerate(rules)]
+    broken = F.explode(F.array_append(F.array_compact(F.array(*codes)), F.lit(copies)))
+    hits = sets.select("load_date", broken.alias("reason"), "_rows").unionByName(
+        single.select("load_date", F.lit(copies).alias("reason"), (-F.col("_rows")).alias("_rows"))
+    )
+    return hits.groupBy("load_date", "reason").agg(F.sum("_rows").alias("quarantined_rows")).where("quarantined_rows > 0")
+
+
 def volume_by_key(judged: DataFrame, key: str, rows: DataFrame) -> DataFrame:
     """valid_rows, invalid_rows and total_rows per load day where only copies of the key are open.
 

@@ -94,34 +94,66 @@ def tagged_payments(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
     return quality.with_reasons(copies, rules).drop("copies_in_load")
 
 
-def customer_volume(
-    customers: DataFrame, clean: DataFrame | None, load_date: str, options: GateOptions = GateOptions()
+def _judged_customers(
+    customers: DataFrame, clean: DataFrame | None, load_date: str, options: GateOptions
 ) -> DataFrame:
-    """Rows per load day that tagged_customers accepts and rejects; likewise below."""
+    """Customers with the flags of all rules but the one about copies; likewise below."""
     rules = quality.customer_rules()
     judged = quality.with_own_flags(customers, rules)
-    if clean is not None:
-        history = lookups.earlier_keys(
-            clean, "customer_id", load_date, options.lookback_days, options.strictly_before
-        )
-        found = lookups.with_presence(judged, history, "customer_id", "in_history", keys_of=customers)
-        judged = quality.with_flags_of(found, rules, "in_history")
-    return quality.volume_by_key(judged, "customer_id", customers)
+    if clean is None:
+        return judged
+    history = lookups.earlier_keys(
+        clean, "customer_id", load_date, options.lookback_days, options.strictly_before
+    )
+    found = lookups.with_presence(judged, history, "customer_id", "in_history", keys_of=customers)
+    return quality.with_flags_of(found, rules, "in_history")
 
 
-def order_volume(orders: DataFrame, clean_customers: DataFrame) -> DataFrame:
+def _judged_orders(orders: DataFrame, clean_customers: DataFrame) -> DataFrame:
     rules = quality.order_rules()
     own = quality.with_own_flags(orders, rules)
     found = lookups.with_presence(own, clean_customers, "customer_id", "customer_known", keys_of=orders)
-    judged = quality.with_flags_of(found, rules, "customer_known")
-    return quality.volume_by_key(judged, "order_id", orders)
+    return quality.with_flags_of(found, rules, "customer_known")
 
 
-def payment_volume(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
+def _judged_payments(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
     rules = quality.payment_rules()
     found = _with_order(quality.with_own_flags(payments, rules), payments, clean_orders)
-    judged = quality.with_flags_of(found, rules, "order_known", "order_created_at")
-    return quality.volume_by_key(judged, "payment_id", payments)
+    return quality.with_flags_of(found, rules, "order_known", "order_created_at")
+
+
+def customer_volume(
+    customers: DataFrame, clean: DataFrame | None, load_date: str, options: GateOptions = GateOptions()
+) -> DataFrame:
+    """Rows per load day that tagged_customers accepts and rejects; likewise below."""
+    judged = _judged_customers(customers, clean, load_date, options)
+    return quality.volume_by_key(judged, "customer_id", customers)
+
+
+def order_volume(orders: DataFrame, clean_customers: DataFrame) -> DataFrame:
+    return quality.volume_by_key(_judged_orders(orders, clean_customers), "order_id", orders)
+
+
+def payment_volume(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
+    return quality.volume_by_key(_judged_payments(payments, clean_orders), "payment_id", payments)
+
+
+def customer_hits(
+    customers: DataFrame, clean: DataFrame | None, load_date: str, options: GateOptions = GateOptions()
+) -> DataFrame:
+    """Rows per load day and code that tagged_customers rejects under it; likewise below."""
+    judged = _judged_customers(customers, clean, load_date, options)
+    return quality.hits_by_rule(judged, "customer_id", customers, quality.customer_rules())
+
+
+def order_hits(orders: DataFrame, clean_customers: DataFrame) -> DataFrame:
+    judged = _judged_orders(orders, clean_customers)
+    return quality.hits_by_rule(judged, "order_id", orders, quality.order_rules())
+
+
+def payment_hits(payments: DataFrame, clean_orders: DataFrame) -> DataFrame:
+    judged = _judged_payments(payments, clean_orders)
+    return quality.hits_by_rule(judged, "payment_id", payments, quality.payment_rules())
 
 
 def write_gated(tagged: DataFrame, data_root: str, entity: str, load_date: str) -> tuple[int, int]:
