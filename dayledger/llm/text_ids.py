@@ -102,32 +102,34 @@ class SpaceSplitIds:
         words.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
         return words
 
-    def _together(self, tokenizer, pieces: list[str], between: str) -> Iterator[tuple[str, bytes]]:
-        """Pieces with their ids; many are encoded as one text, with `between` in between."""
+    def _together(self, tokenizer, pieces: list[str], between: str) -> list[bytes]:
+        """The ids of each piece, in order; many are encoded as one text, with `between` in between."""
         np = self.numpy
         (sign,) = tokenizer.encode(between, add_special_tokens=False).ids
+        out = []
         for first in range(0, len(pieces), JOINED):
             some = pieces[first : first + JOINED]
             (e,) = tokenizer.encode_batch_fast([f" {between} ".join(some)], add_special_tokens=False)
             ids = np.array(e.ids, "<u4")
-            data, start = ids.tobytes(), 0
-            ends = [*(4 * np.flatnonzero(ids == sign)).tolist(), len(data)]
-            for piece, end in zip(some, ends, strict=True):
-                yield piece, data[start:end]
-                start = end + 4
-
-    def _ids(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Pieces with their ids, in any order."""
+            data, signs = ids.tobytes(), 4 * np.flatnonzero(ids == sign)
+            starts, ends = [0, *(signs + 4).tolist()], [*signs.tolist(), len(data)]
+            if len(ends) != len(some):
+                raise ValueError("a piece has the id of the sign between pieces")
+            out += [data[start:end] for start, end in zip(starts, ends)]
+        return out
+
+    def _add(self, known: dict[str, bytes], pieces: list[str]) -> None:
+        """Add the ids of different pieces."""
         if self.alone.search(" ".join(pieces)):
             single = [piece for piece in pieces if self.alone.search(piece)]
             for piece, e in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
-                yield piece, pack(f"<{len(e.ids)}I", *e.ids)
-            pieces = [piece for piece in pieces if not self.alone.search(piece)]
+                known[piece] = pack(f"<{len(e.ids)}I", *e.ids)
+            pieces = list(set(pieces).difference(single))
         if self.words is not None:
-            plain = [p for p in pieces if p.isascii() and p.isalpha() and p.islower()]
-            yield from self._together(self.words, plain, BETWEEN_WORDS)
-            pieces = [p for p in pieces if not (p.isascii() and p.isalpha() and p.islower())]
-        yield from self._together(self.tokenizer, pieces, BETWEEN)
+            plain = [p for p in pieces if p.islower() and p.isascii() and p.isalpha()]
+            known.update(zip(plain, self._together(self.words, plain, BETWEEN_WORDS), strict=True))
+            pieces = list(set(pieces).difference(plain))
+        known.update(zip(pieces, self._together(self.tokenizer, pieces, BETWEEN), strict=True))
 
     def _learn(self, parts: set[str]) -> None:
         unknown = self.parts.unknown(parts)
@@ -137,26 +139,24 @@ class SpaceSplitIds:
         together = " ".join(unknown)
         if self.alone.search(together) or self.alone.search(together.lower()):
             whole = {p for p in unknown if self.alone.search(p) or self.alone.search(p.lower())}
-        stems, tails = unknown, None
+        cut, stems, tails, uncut = [], [], [], unknown
         if self.words is not None:
-            stems, tails = [], []
-            for part in unknown:
-                stem = part.rstrip(SIGNS)
-                if stem and stem[-1] in LETTERS and part not in whole:
+            for part, stem in zip(unknown, [part.rstrip(SIGNS) for part in unknown]):
+                if len(stem) != len(part) and stem and stem[-1] in LETTERS and part not in whole:
+                    cut.append(part)
                     stems.append(stem)
                     tails.append(part[len(stem) :])
-                else:
-                    stems.append(part)
-                    tails.append("")
+            uncut = list(set(unknown).difference(cut))
+        forms = uncut
         if self.folds:
-            stems = [s.lower() if s.isascii() and s not in whole else s for s in stems]
-        new = self.stems.unknown({*stems, *(tails or ())})
-        known = self.stems.now
-        known.update(self._ids(new))
-        found = map(known.__getitem__, stems)
-        if tails is not None:
-            found = map(bytes.__add__, found, map(known.__getitem__, tails))
-        self.parts.now.update(zip(unknown, found, strict=True))
+            stems = [s.lower() if s.isascii() else s for s in stems]  # none of these is in whole
+            forms = [p.lower() if p.isascii() and p not in whole else p for p in uncut]
+        new = self.stems.unknown({*stems, *tails, *forms})
+        known, now = self.stems.now, self.parts.now
+        self._add(known, new)
+        now.update(zip(uncut, map(known.__getitem__, forms), strict=True))
+        both = map(bytes.__add__, map(known.__getitem__, stems), map(known.__getitem__, tails))
+        now.update(zip(cut, both, strict=True))
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order. Unknown parts of many texts are encoded together."""

@@ -79,6 +79,20 @@ def test_forgetting_changes_nothing(whole, monkeypatch):
     assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode([*texts, None])] == [*map(whole, texts), []]
 
 
+def test_only_parts_that_end_in_signs_are_put_together():
+    own = SpaceSplitIds(WORD_BPE)
+    list(own.encode(["plain Words 12 ... x"]))
+    assert set(own.stems.now) == {"plain", "words", "12", "...", "x"}  # no tail is looked up
+    list(own.encode(["words, Words!"]))
+    assert set(own.stems.now) == {"plain", "words", "12", "...", "x", ",", "!"}
+
+
+def test_a_piece_with_the_sign_between_is_refused():
+    own = SpaceSplitIds(WORD_BPE)
+    with pytest.raises(ValueError):
+        own._together(own.tokenizer, ["a", "b\x01"], "\x01")
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
